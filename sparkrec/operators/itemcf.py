@@ -134,3 +134,59 @@ def item_cf(train: DataFrame, cand: DataFrame, k: int = 20, min_co: int = 35, p:
     if clamp_range is not None:
         pred = clamp(pred, *clamp_range)
     return j.select("user_id", "item_id", pred.alias("prediction"), route.alias("route"))
+
+
+def item_cf_sweep(train: DataFrame, cand: DataFrame, thresholds: list[int], ks: list[int],
+                  p: float = 2.5, clamp_range: tuple[float, float] | None = (0.0, 5.0)) -> DataFrame:
+    """H9: predictions for every (min_co, k) setting in one job.
+
+    The co-rating statistics are computed once; each threshold is a row of an
+    ``explode`` over the (small, fixed) threshold list, and each k is a
+    conditional sum over one shared rank. Returns (min_co, k, user_id,
+    item_id, prediction).
+    """
+    ist = item_stats(train)
+    ust = user_stats(train)
+    pairs = cand.select("user_id", "item_id").distinct()
+    known = (pairs.join(ust.select("user_id"), "user_id", "left_semi")
+             .join(ist.select("item_id"), "item_id", "left_semi"))
+    expand = candidate_expand(known, train)
+    lowest = min(thresholds)
+    eligible = ist.filter(F.col("item_count") >= lowest) if lowest > 0 else None
+    stats = co_rating_stats(train, canonical_needed(expand, eligible), ist)
+    per_t = (stats.withColumn("min_co", F.explode(F.array(*[F.lit(int(t)) for t in thresholds])))
+             .filter(F.col("n_co") >= F.col("min_co")))
+    ok = (F.col("saa") > 0) & (F.col("sbb") > 0)
+    per_t = per_t.withColumn("weight", amplify(
+        F.when(ok, F.col("sab") / (F.sqrt("saa") * F.sqrt("sbb"))).otherwise(F.lit(0.0)), p))
+    fwd = per_t.select("min_co", F.col("x").alias("item_id"), F.col("y").alias("other"), "weight")
+    rev = per_t.filter(F.col("x") != F.col("y")).select(
+        "min_co", F.col("y").alias("item_id"), F.col("x").alias("other"), "weight")
+    w = fwd.unionByName(rev).filter(F.col("weight") > 0)
+    nb = expand.join(w, ["item_id", "other"])
+    win = Window.partitionBy("min_co", "user_id", "item_id").orderBy(
+        F.desc(F.round("weight", ORDER_DECIMALS)), F.asc("other"))
+    kmax = max(ks)
+    ranked = nb.withColumn("rank", F.row_number().over(win)).filter(F.col("rank") <= kmax)
+    aggs = []
+    for k in ks:
+        sel = F.col("rank") <= k
+        aggs.append(F.sum(F.when(sel, F.col("r_other") * F.col("weight"))).alias(f"_num{k}"))
+        aggs.append(F.sum(F.when(sel, F.col("weight"))).alias(f"_den{k}"))
+    top = ranked.groupBy("min_co", "user_id", "item_id").agg(*aggs)
+    settings = pairs.withColumn("min_co", F.explode(F.array(*[F.lit(int(t)) for t in thresholds])))
+    j = (settings.join(ust.select("user_id", "user_mean"), "user_id", "left")
+         .join(ist.select("item_id", "item_mean"), "item_id", "left")
+         .join(top, ["min_co", "user_id", "item_id"], "left"))
+    outs = []
+    for k in ks:
+        nbp = F.col(f"_num{k}") / F.col(f"_den{k}")
+        pred = (F.when(F.col("item_mean").isNull(), F.coalesce("user_mean", F.lit(UNKNOWN_USER_MEAN)))
+                .when(F.col("user_mean").isNull(), F.col("item_mean"))
+                .when(F.col(f"_den{k}").isNotNull(), nbp)
+                .otherwise(F.col("user_mean")))
+        if clamp_range is not None:
+            pred = clamp(pred, *clamp_range)
+        outs.append(F.struct(F.lit(int(k)).alias("k"), pred.alias("prediction")))
+    e = j.select("min_co", "user_id", "item_id", F.explode(F.array(*outs)).alias("_o"))
+    return e.select("min_co", F.col("_o.k").alias("k"), "user_id", "item_id", F.col("_o.prediction").alias("prediction"))

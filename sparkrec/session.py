@@ -20,9 +20,13 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
-              app_name: str = "sparkrec", extra: dict | None = None) -> SparkSession:
+              app_name: str = "sparkrec", extra: dict | None = None,
+              driver_memory: str = "16g") -> SparkSession:
+    """Local session for tests, the bench and dev tools. On a cluster the
+    session comes from the submitter and only ``ensure_checkpoint_dir`` applies."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
+    conf["spark.driver.memory"] = driver_memory
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
@@ -49,3 +53,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="sparkrec-ckpt-", dir=os.environ.get("SPARKREC_SCRATCH"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, tag: str = "t"):
+    """Write ``df`` as Parquet under the reliable checkpoint folder and read it back.
+
+    This cuts the lineage like ``checkpoint()`` and survives executor loss,
+    but the re-read frame's size estimate comes from its files. (A checkpointed
+    frame keeps the estimate of the plan it replaced; in iterative jobs those
+    estimates compound, since an inner join is estimated as the product of its
+    inputs.)
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/sparkrec-tables/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
