@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkrec.functions.columns import ORDER_DECIMALS, amplify, clamp
 from sparkrec.operators.baselines import UNKNOWN_USER_MEAN
-from sparkrec.operators.pairs import common_raters
+from sparkrec.operators.pairs import DEFAULT_LIGHT_MAX, common_raters
 
 
 def _r(train: DataFrame) -> DataFrame:
@@ -57,14 +57,15 @@ def canonical_needed(expand: DataFrame, eligible: DataFrame | None = None) -> Da
     return p
 
 
-def co_rating_stats(train: DataFrame, pairs_xy: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def co_rating_stats(train: DataFrame, pairs_xy: DataFrame, stats: DataFrame | None = None,
+                    light_max: int | None = DEFAULT_LIGHT_MAX) -> DataFrame:
     """Per unordered pair (x, y): co-rater count and centred sums
     ``sab = sum(a'b')``, ``saa = sum(a'^2)``, ``sbb = sum(b'^2)``."""
     stats = stats if stats is not None else item_stats(train)
     rc = (_r(train).join(stats.select("item_id", "item_mean"), "item_id")
           .select("user_id", "item_id", (F.col("stars") - F.col("item_mean")).alias("c")))
     deg = stats.select("item_id", F.col("item_count").alias("_deg"))
-    j = common_raters(rc, pairs_xy, "item_id", "user_id", ["c"], degree=deg)
+    j = common_raters(rc, pairs_xy, "item_id", "user_id", ["c"], degree=deg, light_max=light_max)
     return j.groupBy("x", "y").agg(
         F.count(F.lit(1)).alias("n_co"),
         F.sum(F.col("x_c") * F.col("y_c")).alias("sab"),

@@ -15,6 +15,16 @@ task. Instead:
 
 Both joins are plain equi-joins: AQE turns them into broadcast joins when a
 side is small at runtime, and splits a skewed key's partition otherwise.
+
+Heavy/light split (``light_max``). Scanning the driver's raters finds
+co-raters at a cost of ``min(deg x, deg y)`` per pair even when only a few
+raters are shared. So raters are split by their own degree: a *light*
+rater (at most ``light_max`` ratings) contributes the pairs of its own
+basket — at most ``light_max^2`` rows for that rater, a bounded group — kept
+only where the pair is needed; a *heavy* rater is never expanded pairwise:
+its co-ratings come from the demand-driven scan above, which then reads
+only heavy raters. Light and heavy raters are disjoint, so the union is
+exact. A rater holding a third of all rows is heavy by construction.
 """
 
 from __future__ import annotations
@@ -31,15 +41,37 @@ def needed_pairs(cand: DataFrame, ratings: DataFrame, by_col: str, target_col: s
     return cand.select(by_col, target_col).join(r, by_col).select(target_col, other_col).distinct()
 
 
+DEFAULT_LIGHT_MAX = 128
+
+
 def common_raters(ratings: DataFrame, pairs: DataFrame, entity_col: str, by_col: str,
                   values: list[str], x_col: str = "x", y_col: str = "y",
-                  degree: DataFrame | None = None) -> DataFrame:
+                  degree: DataFrame | None = None, light_max: int | None = DEFAULT_LIGHT_MAX) -> DataFrame:
     """For each pair (x, y) in ``pairs`` and each ``by`` that rated both, one
     row ``(x, y, by, x_<v>, y_<v> for v in values)``.
 
     ``ratings`` must be unique on (entity, by). ``degree`` may pass precomputed
-    (entity, _deg) counts to save an aggregation.
+    (entity, _deg) counts to save an aggregation. With ``light_max`` the
+    pairs must be canonical (x <= y); see the module notes.
     """
+    if light_max is None:
+        return _scan_common(ratings, pairs, entity_col, by_col, values, x_col, y_col, degree)
+    by_deg = ratings.groupBy(by_col).agg(F.count(F.lit(1)).alias("_bdeg"))
+    light = by_deg.filter(F.col("_bdeg") <= light_max).select(by_col)
+    heavy = by_deg.filter(F.col("_bdeg") > light_max).select(by_col)
+    r_light = ratings.join(light, by_col, "left_semi")
+    r_heavy = ratings.join(heavy, by_col, "left_semi")
+    a = r_light.select(by_col, F.col(entity_col).alias(x_col), *[F.col(v).alias(f"x_{v}") for v in values])
+    b = r_light.select(by_col, F.col(entity_col).alias(y_col), *[F.col(v).alias(f"y_{v}") for v in values])
+    basket_pairs = (a.join(b, by_col).filter(F.col(x_col) <= F.col(y_col))
+                    .join(pairs.select(x_col, y_col), [x_col, y_col], "left_semi"))
+    out_cols = [x_col, y_col, by_col] + [c for v in values for c in (f"x_{v}", f"y_{v}")]
+    scanned = _scan_common(r_heavy, pairs, entity_col, by_col, values, x_col, y_col, degree)
+    return basket_pairs.select(*out_cols).unionByName(scanned.select(*out_cols))
+
+
+def _scan_common(ratings: DataFrame, pairs: DataFrame, entity_col: str, by_col: str,
+                 values: list[str], x_col: str, y_col: str, degree: DataFrame | None) -> DataFrame:
     if degree is None:
         degree = ratings.groupBy(entity_col).agg(F.count(F.lit(1)).alias("_deg"))
     dx = degree.select(F.col(entity_col).alias(x_col), F.col("_deg").alias("_dx"))

@@ -93,11 +93,20 @@ def test_weights_symmetric_and_bounded(spark):
     train = _df(spark, ratings, "user_id long, item_id long, stars double")
     items = spark.range(8).select(F.col("id").alias("item_id"))
     xy = items.select(F.col("item_id").alias("x")).crossJoin(items.select(F.col("item_id").alias("y")))
-    w = itemcf.weight_from_stats(itemcf.co_rating_stats(train, xy), 0, 2.5).collect()
+    # the scanning path takes any pair orientation
+    w = itemcf.weight_from_stats(itemcf.co_rating_stats(train, xy, light_max=None), 0, 2.5).collect()
     d = {(r.x, r.y): r.weight for r in w}
     for (x, y), v in d.items():
         assert abs(v) <= 1 + 1e-12
         assert d[(y, x)] == pytest.approx(v, abs=1e-12)
+    # heavy/light split (every rater heavy, every rater light, mixed) equals the scan
+    canon = xy.filter("x <= y")
+    for lm in (0, 3, 100):
+        w2 = itemcf.weight_from_stats(itemcf.co_rating_stats(train, canon, light_max=lm), 0, 2.5).collect()
+        d2 = {(r.x, r.y): (r.n_co, r.weight) for r in w2}
+        assert len(d2) == len([k for k in d if k[0] <= k[1]])
+        for (x, y), (n, v) in d2.items():
+            assert v == pytest.approx(d[(x, y)], abs=1e-12)
 
 
 def test_result_unchanged_under_repartition(spark):
