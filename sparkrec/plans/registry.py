@@ -32,15 +32,25 @@ def register(name: str, sql: str | None = None, ratings: str = "supp"):
 class Ctx:
     """The inputs of one query run; each view is built once, lazily."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, ratings: str = "supp", seed: int = 0):
+    def __init__(self, spark: SparkSession, sf_dir: str, ratings: str = "supp", seed: int = 0,
+                 materialize_inputs: bool = False):
         self.spark, self.sf_dir, self.ratings_name, self.seed = spark, sf_dir, ratings, seed
+        self.materialize_inputs = materialize_inputs
 
     def table(self, name: str) -> DataFrame:
         return fixtures.table(self.spark, self.sf_dir, name)
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return fixtures.ratings(self.spark, self.sf_dir, self.ratings_name)
+        """The deduplicated rating view. Written once to a table in the checkpoint
+        folder (``materialize_inputs``): the models read it many times, and a
+        plain file scan is cheaper to re-read than the join + dedupe it comes
+        from, and gives AQE true sizes."""
+        r = fixtures.ratings(self.spark, self.sf_dir, self.ratings_name)
+        if self.materialize_inputs:
+            from sparkrec.session import materialize
+            r = materialize(r, f"ratings-{self.ratings_name}")
+        return r
 
     @cached_property
     def _halves(self):
