@@ -72,3 +72,15 @@ def split_hash(user, item, seed: int = 0) -> Column:
 def pair_key(user, item) -> Column:
     """The reference's composite text key ``"user,item"`` (output only)."""
     return F.concat_ws(",", _c(user).cast("string"), _c(item).cast("string"))
+
+
+def attach_row(df, one_row):
+    """Attach the columns of a one-row aggregate (a global mean, an offset,
+    fitted coefficients) to every row of ``df``.
+
+    The right side is a global aggregate without grouping, so it has exactly
+    one row by construction: the product keeps ``df``'s cardinality and the
+    row is broadcast. Never used with a frame that can grow with the data.
+    """
+    from pyspark.sql import functions as F
+    return df.crossJoin(F.broadcast(one_row.limit(1)))

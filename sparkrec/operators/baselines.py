@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkrec.functions.columns import attach_row
+
 # Fixed values the reference uses when a user or item has no history.
 UNKNOWN_USER_MEAN = 2.5
 
@@ -39,7 +41,7 @@ def item_means(ratings: DataFrame, item_col="item_id", rating_col="stars") -> Da
 
 
 def global_mean(ratings: DataFrame, rating_col="stars") -> DataFrame:
-    """One-row frame; join it with ``crossJoin`` (a single row, broadcast)."""
+    """One-row frame; attach it with ``functions.columns.attach_row``."""
     return ratings.agg(F.avg(F.col(rating_col).cast("double")).alias("global_mean"))
 
 
@@ -86,14 +88,17 @@ def cold_start_route(pairs: DataFrame, train: DataFrame, user_col="user_id",
     return j.withColumn("route", route).drop("_ku", "_ki")
 
 
+DIGEST_HEX = 5   # 20-bit entries: a sum over 8e12 entries of one key stays inside BIGINT
+
+
 def entry_digest(*cols) -> Column:
-    """32-bit md5 digest of one basket entry, portable to any SQL engine."""
+    """20-bit md5 digest of one basket entry, portable to any SQL engine."""
     parts = []
     for i, c in enumerate(cols):
         if i:
             parts.append(F.lit(":"))
         parts.append(F.col(c).cast("string"))
-    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, DIGEST_HEX), 16, 10).cast("bigint")
 
 
 def baskets(ratings: DataFrame, key_col: str, other_col: str, rating_col="stars") -> DataFrame:
@@ -152,7 +157,7 @@ def bias_baseline(train: DataFrame, reg_item: float = 25.0, reg_user: float = 10
     """
     r = train.select(user_col, item_col, F.col(rating_col).cast("double").alias("_r"))
     g = global_mean(train, rating_col)
-    rg = r.crossJoin(F.broadcast(g))
+    rg = attach_row(r, g)
     bi = rg.groupBy(item_col).agg(
         (F.sum(F.col("_r") - F.col("global_mean")) / (F.lit(reg_item) + F.count(F.lit(1)))).alias("b_item"))
     bu = (rg.join(bi, item_col)
@@ -165,6 +170,6 @@ def bias_baseline(train: DataFrame, reg_item: float = 25.0, reg_user: float = 10
 def bias_predict(pairs: DataFrame, g: DataFrame, bi: DataFrame, bu: DataFrame,
                  user_col="user_id", item_col="item_id") -> DataFrame:
     """Unknown sides contribute 0 bias."""
-    return (pairs.crossJoin(F.broadcast(g)).join(bi, item_col, "left").join(bu, user_col, "left")
+    return (attach_row(pairs, g).join(bi, item_col, "left").join(bu, user_col, "left")
             .withColumn("baseline", F.col("global_mean") + F.coalesce("b_user", F.lit(0.0))
                         + F.coalesce("b_item", F.lit(0.0))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sparkrec.functions.columns import amplify, clamp, pair_key
+from sparkrec.functions.columns import amplify, attach_row, clamp, pair_key
 from sparkrec.operators import baselines as B
 from sparkrec.operators import features as FE
 from sparkrec.operators import itemcf
@@ -66,7 +66,7 @@ def q_dedupe_latest(ctx: Ctx):
 def _basket_sql(key: str, other: str) -> str:
     return (f"select {key},count(*) n,round(sum(cast(stars as double)),6) total,"
             f"round(sum(cast(stars as double)*stars),6) total_sq,"
-            f"sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),1,8) as bigint)) digest"
+            f"sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),1,5) as bigint)) digest"
             f" from half_a group by {key}")
 
 
@@ -139,8 +139,8 @@ def q_entity_counts(ctx: Ctx):
     "half_a", "candidates"))
 def q_global_baseline(ctx: Ctx):
     g = B.global_mean(ctx.half_a)
-    return round_doubles(ctx.candidates.select("user_id", "item_id").distinct()
-                         .crossJoin(F.broadcast(g)).withColumnRenamed("global_mean", "prediction"))
+    return round_doubles(attach_row(ctx.candidates.select("user_id", "item_id").distinct(), g)
+                         .withColumnRenamed("global_mean", "prediction"))
 
 
 # --- E3 -------------------------------------------------------------------------------
