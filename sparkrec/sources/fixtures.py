@@ -115,7 +115,7 @@ def candidates(half_b: DataFrame, string_items: bool = False, row_no: bool = Fal
 
 
 def user_profile(spark: SparkSession, sf_dir: str, half_a: DataFrame) -> DataFrame:
-    """Yelp-like user rows: averages from half A, votes/compliments from events."""
+    """Review-site-style user rows: averages from half A, votes/compliments from events."""
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
     r = half_a.groupBy("user_id").agg(F.avg(F.col("stars").cast("double")).alias("average_stars"),
                                       F.count(F.lit(1)).alias("review_count"))
@@ -148,7 +148,7 @@ def _attr_json(s: F.Column) -> F.Column:
 
 
 def item_profile(spark: SparkSession, sf_dir: str, half_a: DataFrame) -> DataFrame:
-    """Yelp-like business rows over suppliers; ``attributes`` is JSON text."""
+    """Review-site-style business rows over suppliers; ``attributes`` is JSON text."""
     sup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("item_id"))
     r = half_a.groupBy("item_id").agg(
         (F.round(F.avg(F.col("stars").cast("double")) * 2) / 2).alias("stars"),
