@@ -102,7 +102,8 @@ def topk_neighbors(expand_w: DataFrame, k: int) -> DataFrame:
 
 
 def item_cf(train: DataFrame, cand: DataFrame, k: int = 20, min_co: int = 35, p: float = 2.5,
-            clamp_range: tuple[float, float] | None = (1.0, 5.0)) -> DataFrame:
+            clamp_range: tuple[float, float] | None = (1.0, 5.0),
+            light_max: int | None = DEFAULT_LIGHT_MAX) -> DataFrame:
     """Predict every distinct (user_id, item_id) of ``cand`` from ``train``.
 
     Returns (user_id, item_id, prediction, route).
@@ -115,7 +116,7 @@ def item_cf(train: DataFrame, cand: DataFrame, k: int = 20, min_co: int = 35, p:
     expand = candidate_expand(known, train)
     eligible = ist.filter(F.col("item_count") >= min_co) if min_co > 0 else None
     needed = canonical_needed(expand, eligible)
-    weights = both_orientations(weight_from_stats(co_rating_stats(train, needed, ist), min_co, p))
+    weights = both_orientations(weight_from_stats(co_rating_stats(train, needed, ist, light_max), min_co, p))
     nb = expand.join(weights.filter(F.col("weight") > 0), ["item_id", "other"])
     top = (topk_neighbors(nb, k).groupBy("user_id", "item_id")
            .agg((F.sum(F.col("r_other") * F.col("weight")) / F.sum("weight")).alias("nb_pred"),

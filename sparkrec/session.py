@@ -19,6 +19,22 @@ DEFAULT_CONF = {
 }
 
 
+# Settings we would submit with at 100 TB (the submitter owns the session; these
+# are recommendations, applied by nothing here): many shuffle partitions that
+# AQE coalesces to ~256 MB, skew splitting on, input splits sized to executor
+# memory, and the shared checkpoint folder for lineage cuts.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # "spark.checkpoint.dir": "<shared folder of the cluster>",
+}
+
+
 def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
               app_name: str = "sparkrec", extra: dict | None = None,
               driver_memory: str = "16g") -> SparkSession:

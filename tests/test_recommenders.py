@@ -119,3 +119,34 @@ def test_result_unchanged_under_repartition(spark):
     assert a.keys() == b.keys()
     for key in a:
         assert a[key] == pytest.approx(b[key], abs=1e-12)
+
+
+def _skewed(seed, n_users=30, n_items=8):
+    """User 0 rates every item and holds about a third of all rows; item 0 is
+    rated by everyone (a hot item)."""
+    rng = random.Random(seed)
+    rows = [(0, i, float(rng.randint(1, 5))) for i in range(n_items)]
+    for u in range(1, n_users):
+        rows.append((u, 0, float(rng.randint(1, 5))))
+        if rng.random() < 0.15:
+            rows.append((u, rng.randrange(1, n_items), float(rng.randint(1, 5))))
+    return sorted(set({(u, i): (u, i, r) for u, i, r in rows}.values()))
+
+
+@pytest.mark.parametrize("light_max", [None, 0, 2, 128])
+def test_skewed_input_all_paths_agree(spark, light_max):
+    ratings = _skewed(21)
+    pairs = [(u, i) for u in range(0, 31, 3) for i in range(9)]
+    tr = _df(spark, ratings, "user_id long, item_id long, stars double")
+    cand = _df(spark, pairs, "user_id long, item_id long")
+    got = _as_dict(itemcf.item_cf(tr, cand, k=3, min_co=1, light_max=light_max))
+    want = BF.item_cf(ratings, pairs, k=3, min_co=1)
+    assert got.keys() == want.keys()
+    for key in want:
+        assert got[key] == pytest.approx(want[key], abs=1e-9), key
+    so = _as_dict(slopeone.slope_one(tr, cand, light_max=light_max))
+    for key, v in BF.slope_one(ratings, pairs).items():
+        assert so[key] == pytest.approx(v, abs=1e-9), key
+    kn = _as_dict(userknn.user_knn(tr, cand, k=4, light_max=light_max))
+    for key, v in BF.user_knn(ratings, pairs, k=4).items():
+        assert kn[key] == pytest.approx(v, abs=1e-9), key
