@@ -55,3 +55,11 @@ def q_item_item_cf_k5(ctx: Ctx):
     "half_a", "candidates", extra=cf_sql()))
 def q_eval_report(ctx: Ctx):
     return round_doubles(evaluate.eval_report(round_doubles(cf_predictions(ctx)), ctx.candidates))
+
+
+# --- H1 on customer x brand/type ratings: string item ids, ~11k items -------------------
+@register("item_item_cf_bt", ratings="bt", sql=with_views(
+    "select user_id,item_id,round(prediction,6) prediction,route from cf_pred",
+    "half_a", "candidates", ratings="ratings_bt", extra=cf_sql()))
+def q_item_item_cf_bt(ctx: Ctx):
+    return round_doubles(cf_predictions(ctx))

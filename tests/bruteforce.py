@@ -94,3 +94,58 @@ def slope_one(ratings, pairs):
             pred = mean_u + (sum(devs) / len(devs) if devs else 0.0)
         out[(u, i)] = min(5.0, max(1.0, pred))
     return out
+
+
+def key_hash(*vals, seed=0):
+    import hashlib
+    s = "".join(f"{v}:" for v in vals) + str(seed)
+    return int(hashlib.md5(s.encode()).hexdigest()[:4], 16)
+
+
+def co_cluster(ratings, pairs, ku=3, ki=2, epochs=3):
+    U, I = by_user(ratings), by_item(ratings)
+    mu = sum(r for _, _, r in ratings) / len(ratings)
+    um = {u: sum(v.values()) / len(v) for u, v in U.items()}
+    im = {i: sum(v.values()) / len(v) for i, v in I.items()}
+    cu = {u: key_hash(u) % ku for u in U}
+    ci = {i: key_hash(i) % ki for i in I}
+
+    def avgs():
+        s, n = defaultdict(float), defaultdict(int)
+        for u, i, r in ratings:
+            s[(cu[u], ci[i])] += r
+            n[(cu[u], ci[i])] += 1
+        au = {c: (sum(s[(c, d)] for d in range(ki)) / sum(n[(c, d)] for d in range(ki))
+                  if sum(n[(c, d)] for d in range(ki)) else mu) for c in range(ku)}
+        ai = {d: (sum(s[(c, d)] for c in range(ku)) / sum(n[(c, d)] for c in range(ku))
+                  if sum(n[(c, d)] for c in range(ku)) else mu) for d in range(ki)}
+        aco = {(c, d): (s[(c, d)] / n[(c, d)] if n[(c, d)] else mu) for c in range(ku) for d in range(ki)}
+        return au, ai, aco
+
+    for _ in range(epochs):
+        au, ai, aco = avgs()
+        new_cu = {}
+        for u in U:
+            errs = [sum((r - (aco[(c, ci[i])] + um[u] - au[c] + im[i] - ai[ci[i]])) ** 2 for i, r in U[u].items())
+                    for c in range(ku)]
+            new_cu[u] = min(range(ku), key=lambda c: (round(errs[c], 9), c))
+        cu = new_cu
+        new_ci = {}
+        for i in I:
+            errs = [sum((r - (aco[(cu[u], d)] + um[u] - au[cu[u]] + im[i] - ai[d])) ** 2 for u, r in I[i].items())
+                    for d in range(ki)]
+            new_ci[i] = min(range(ki), key=lambda d: (round(errs[d], 9), d))
+        ci = new_ci
+    au, ai, aco = avgs()
+    out = {}
+    for u, i in pairs:
+        if u in U and i in I:
+            p = aco[(cu[u], ci[i])] + (um[u] - au[cu[u]]) + (im[i] - ai[ci[i]])
+        elif u in U:
+            p = um[u]
+        elif i in I:
+            p = im[i]
+        else:
+            p = mu
+        out[(u, i)] = min(5.0, max(1.0, p))
+    return out
