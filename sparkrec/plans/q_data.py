@@ -49,7 +49,7 @@ def q_split_halves(ctx: Ctx):
 
 # --- H10 (part): key-hash folds --------------------------------------------------
 @register("cv_folds", sql=with_views(
-    f"select {H(seed=1)}%5 fold,count(*) n,sum(stars) star_sum from half_a group by 1", "half_a"))
+    f"select {H(seed=1)}%5 fold,count(*) n,cast(sum(stars) as bigint) star_sum from half_a group by 1", "half_a"))
 def q_cv_folds(ctx: Ctx):
     from sparkrec.operators.split import with_fold
     f = with_fold(ctx.half_a, 5, seed=1)
@@ -66,7 +66,7 @@ def q_dedupe_latest(ctx: Ctx):
 def _basket_sql(key: str, other: str) -> str:
     return (f"select {key},count(*) n,round(sum(cast(stars as double)),6) total,"
             f"round(sum(cast(stars as double)*stars),6) total_sq,"
-            f"sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),1,5) as bigint)) digest"
+            f"cast(sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),1,5) as bigint)) as bigint) digest"
             f" from half_a group by {key}")
 
 
@@ -232,7 +232,7 @@ def q_case_amplify(ctx: Ctx):
 
 
 @register("topk_neighbors", sql=with_views(
-    "select user_id,item_id,other,round(weight,6) weight,rank from cf_nb where rank<=5",
+    "select user_id,item_id,other,round(weight,6) weight,cast(rank as integer) rank from cf_nb where rank<=5",
     "half_a", "candidates", extra=cf_sql(k=5)))
 def q_topk_neighbors(ctx: Ctx):
     expand = itemcf.candidate_expand(_known_pairs(ctx), ctx.half_a)
