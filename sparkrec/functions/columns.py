@@ -83,4 +83,4 @@ def attach_row(df, one_row):
     row is broadcast. Never used with a frame that can grow with the data.
     """
     from pyspark.sql import functions as F
-    return df.crossJoin(F.broadcast(one_row.limit(1)))
+    return df.crossJoin(F.broadcast(one_row))
