@@ -78,9 +78,10 @@ def attach_row(df, one_row):
     """Attach the columns of a one-row aggregate (a global mean, an offset,
     fitted coefficients) to every row of ``df``.
 
-    The right side is a global aggregate without grouping, so it has exactly
-    one row by construction: the product keeps ``df``'s cardinality and the
-    row is broadcast. Never used with a frame that can grow with the data.
+    The row is a scalar subquery: computed once, inlined as a value, no join.
+    Spark raises if the subquery ever returns more than one row, so the
+    one-row bound is enforced, not assumed.
     """
-    from pyspark.sql import functions as F
-    return df.crossJoin(F.broadcast(one_row))
+    cols = one_row.columns
+    s = one_row.select(F.struct(*cols).alias("_row")).scalar()
+    return df.select("*", *[s.getField(c).alias(c) for c in cols])
