@@ -86,4 +86,17 @@ def materialize(df, tag: str = "t"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/sparkrec-tables/{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._sparkrec_path = path
+    return out
+
+
+def drop_materialized(df) -> None:
+    """Delete the table behind a ``materialize``d frame once nothing will read it."""
+    path = getattr(df, "_sparkrec_path", None)
+    if not path:
+        return
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
