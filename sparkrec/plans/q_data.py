@@ -15,13 +15,6 @@ from sparkrec.plans.sqlviews import H, with_views
 from sparkrec.plans.util import round_doubles
 from sparkrec.sources import fixtures
 
-R6 = "round({},6)"
-
-
-def _r6(x: str, alias: str) -> str:
-    return f"round({x},6) {alias}"
-
-
 # --- A4: item profile attributes parsed from JSON text -----------------------
 @register("item_attr_scan", sql=with_views(
     """select item_id,attr_key,json_extract_string(attributes,concat('$."',attr_key,'"')) attr_value
