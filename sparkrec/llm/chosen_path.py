@@ -30,9 +30,10 @@ import math
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrec.llm.common import drop_materialized, map_rows, materialize, ship, texts
@@ -328,7 +329,6 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
     keep = firsts.join(repeated, firsts["doc_id"] == F.col("__again"), "left_semi").select(
         F.col("doc_id").alias("__doc"), F.col("uid").alias("__set"))
     marked = again.withColumn("__uid", _uid_column(again["text"]))
-    from pyspark.sql import Window
     rank = F.row_number().over(Window.partitionBy(id_of, "__uid").orderBy(F.col("text")))
     marked = marked.withColumn("__rank", rank).where("__rank = 1")
     return out.unionByName(marked.join(keep, (marked["doc_id"].cast("long") == F.col("__doc")) & (F.col("__uid") == F.col("__set")),
@@ -336,8 +336,6 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = R
 
 
 def _uid_column(text: F.Column) -> F.Column:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def uid(t: pd.Series) -> pd.Series:
         return t.fillna("").map(lambda x: set_id(shingles(x)))

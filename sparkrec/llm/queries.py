@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkrec.llm import chosen_path, line_dedup, mixing, sentencepiece_bpe, toxicity
+from sparkrec.llm import (block_topk, chosen_path, imatch, line_dedup, mixing, pii, pseudo_lm, secret_links, sentencepiece_bpe,
+                          toxicity)
 from sparkrec.llm.common import read
 
 MIX_WEIGHTS = {"high": 0.8, "low": 0.1, "toxic": 0.1}
@@ -27,20 +28,43 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.rates(read(spark, sf_dir, "documents"), mixing.label_domains(read(spark, sf_dir, "labels")), MIX_WEIGHTS)
 
 
+def op3_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.against_neighbours(read(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(read(spark, sf_dir, "documents"))
 
 
+def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return pseudo_lm.score_documents(docs, pseudo_lm.fit(docs))
+
+
+def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_links.scan(read(spark, sf_dir, "documents"))
+
+
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(read(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.jaccard_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+def op9_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score_documents(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_sentencepiece, op2_mixing, op4_line_dedup, op8_jaccard_join, op10_toxicity)}
+    f.__name__: f for f in (
+        op1_sentencepiece, op2_mixing, op3_imatch, op4_line_dedup, op5_pseudo_likelihood, op6_secret_links, op7_personal_data,
+        op8_jaccard_join, op9_block_topk, op10_toxicity)}
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op9_block_topk": block_topk.SQL}
