@@ -14,7 +14,7 @@ with the source interval each came from.
 
 The same patterns run over the result, and each match is mapped back to the
 interval from the first to the last source character it came from. It is added
-unless a base span of its kind has the same place or overlaps it.
+unless it lies within a base span of its kind.
 
 Base patterns are leftmost and non-overlapping for each kind; failing matches are
 dropped without another try. Only digits 0-9 and letters A-Z count there.
@@ -212,7 +212,7 @@ def disguised(text: str) -> list[tuple[str, int, int]]:
 def all_spans(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and all spans, both by kind as listed, then start."""
     base = spans(text)
-    more = [(k, a, b) for k, a, b in disguised(text) if all(x != k or b <= lo or a >= hi for x, lo, hi in base)]
+    more = [(k, a, b) for k, a, b in disguised(text) if not any(x == k and lo <= a and b <= hi for x, lo, hi in base)]
     return base, sorted({*base, *more}, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
