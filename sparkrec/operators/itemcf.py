@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sparkrec.functions.columns import ORDER_DECIMALS, amplify, clamp
 from sparkrec.operators.baselines import UNKNOWN_USER_MEAN
-from sparkrec.operators.pairs import DEFAULT_LIGHT_MAX, common_raters
+from sparkrec.operators.pairs import DEFAULT_LIGHT_MAX, UNIT, mirrored, pair_sums
 
 
 def _r(train: DataFrame) -> DataFrame:
@@ -42,6 +42,15 @@ def candidate_expand(pairs: DataFrame, train: DataFrame) -> DataFrame:
     return pairs.select("user_id", "item_id").join(r, "user_id")
 
 
+def _eligible_expand(known: DataFrame, train: DataFrame, ist: DataFrame, min_co: int) -> DataFrame:
+    """``candidate_expand`` over items with at least ``min_co`` raters on both sides:
+    others can't reach the threshold with anything, so they leave before the expansion."""
+    if min_co <= 0:
+        return candidate_expand(known, train)
+    enough = ist.filter(F.col("item_count") >= min_co).select("item_id")
+    return candidate_expand(known.join(enough, "item_id", "left_semi"), train.join(enough, "item_id", "left_semi"))
+
+
 def canonical_needed(expand: DataFrame, eligible: DataFrame | None = None) -> DataFrame:
     """Distinct unordered item pairs (x <= y) some prediction reads.
 
@@ -60,17 +69,27 @@ def canonical_needed(expand: DataFrame, eligible: DataFrame | None = None) -> Da
 def co_rating_stats(train: DataFrame, pairs_xy: DataFrame, stats: DataFrame | None = None,
                     light_max: int | None = DEFAULT_LIGHT_MAX) -> DataFrame:
     """Per unordered pair (x, y): co-rater count and centred sums
-    ``sab = sum(a'b')``, ``saa = sum(a'^2)``, ``sbb = sum(b'^2)``."""
+    ``sab = sum(a'b')``, ``saa = sum(a'^2)``, ``sbb = sum(b'^2)``.
+
+    The sums are whole numbers, centred by the items' totals in whole numbers too
+    (times both items' counts), and divided last: a sum that is 0 is exactly 0, and
+    the order of rows doesn't matter.
+    """
     stats = stats if stats is not None else item_stats(train)
-    rc = (_r(train).join(stats.select("item_id", "item_mean"), "item_id")
-          .select("user_id", "item_id", (F.col("stars") - F.col("item_mean")).alias("c")))
     deg = stats.select("item_id", F.col("item_count").alias("_deg"))
-    j = common_raters(rc, pairs_xy, "item_id", "user_id", ["c"], degree=deg, light_max=light_max)
-    return j.groupBy("x", "y").agg(
-        F.count(F.lit(1)).alias("n_co"),
-        F.sum(F.col("x_c") * F.col("y_c")).alias("sab"),
-        F.sum(F.col("x_c") * F.col("x_c")).alias("saa"),
-        F.sum(F.col("y_c") * F.col("y_c")).alias("sbb"))
+    j = pair_sums(_r(train), pairs_xy, "item_id", "user_id", degree=deg, light_max=light_max)
+    total = _r(train).groupBy("item_id").agg(F.count(F.lit(1)).alias("cnt"),
+                                             F.sum(F.round(F.col("stars") * UNIT).cast("long")).alias("tot"))
+    of_x = total.select(F.col("item_id").alias("x"), F.col("cnt").alias("nx"), F.col("tot").alias("tx"))
+    of_y = total.select(F.col("item_id").alias("y"), F.col("cnt").alias("ny"), F.col("tot").alias("ty"))
+    j = j.join(of_x, "x").join(of_y, "y")
+    d = {c: F.col(c).cast("decimal(38,0)") for c in ("n", "a", "b", "ab", "aa", "bb", "nx", "ny", "tx", "ty")}
+    sab = d["nx"] * d["ny"] * d["ab"] - d["nx"] * d["ty"] * d["a"] - d["ny"] * d["tx"] * d["b"] + d["n"] * d["tx"] * d["ty"]
+    saa = d["nx"] * d["nx"] * d["aa"] - F.lit(2).cast("decimal(38,0)") * d["nx"] * d["tx"] * d["a"] + d["n"] * d["tx"] * d["tx"]
+    sbb = d["ny"] * d["ny"] * d["bb"] - F.lit(2).cast("decimal(38,0)") * d["ny"] * d["ty"] * d["b"] + d["n"] * d["ty"] * d["ty"]
+    nx, ny, unit = F.col("nx").cast("double"), F.col("ny").cast("double"), F.lit(float(UNIT * UNIT))
+    return j.select("x", "y", F.col("n").alias("n_co"), (sab.cast("double") / (nx * ny) / unit).alias("sab"),
+                    (saa.cast("double") / (nx * nx) / unit).alias("saa"), (sbb.cast("double") / (ny * ny) / unit).alias("sbb"))
 
 
 def weight_from_stats(s: DataFrame, min_co: int, p: float) -> DataFrame:
@@ -81,10 +100,7 @@ def weight_from_stats(s: DataFrame, min_co: int, p: float) -> DataFrame:
 
 def both_orientations(w: DataFrame) -> DataFrame:
     """(x, y) canonical weights -> (item_id, other) in both directions."""
-    fwd = w.select(F.col("x").alias("item_id"), F.col("y").alias("other"), "n_co", "weight")
-    rev = w.filter(F.col("x") != F.col("y")).select(
-        F.col("y").alias("item_id"), F.col("x").alias("other"), "n_co", "weight")
-    return fwd.unionByName(rev)
+    return mirrored(w, "item_id", "other", {"n_co": 1, "weight": 1})
 
 
 def topk_neighbors(expand_w: DataFrame, k: int) -> DataFrame:
@@ -113,9 +129,8 @@ def item_cf(train: DataFrame, cand: DataFrame, k: int = 20, min_co: int = 35, p:
     pairs = cand.select("user_id", "item_id").distinct()
     known = (pairs.join(ust.select("user_id"), "user_id", "left_semi")
              .join(ist.select("item_id"), "item_id", "left_semi"))
-    expand = candidate_expand(known, train)
-    eligible = ist.filter(F.col("item_count") >= min_co) if min_co > 0 else None
-    needed = canonical_needed(expand, eligible)
+    expand = _eligible_expand(known, train, ist, min_co)
+    needed = canonical_needed(expand)
     weights = both_orientations(weight_from_stats(co_rating_stats(train, needed, ist, light_max), min_co, p))
     nb = expand.join(weights.filter(F.col("weight") > 0), ["item_id", "other"])
     top = (topk_neighbors(nb, k).groupBy("user_id", "item_id")
@@ -152,19 +167,14 @@ def item_cf_sweep(train: DataFrame, cand: DataFrame, thresholds: list[int], ks:
     pairs = cand.select("user_id", "item_id").distinct()
     known = (pairs.join(ust.select("user_id"), "user_id", "left_semi")
              .join(ist.select("item_id"), "item_id", "left_semi"))
-    expand = candidate_expand(known, train)
-    lowest = min(thresholds)
-    eligible = ist.filter(F.col("item_count") >= lowest) if lowest > 0 else None
-    stats = co_rating_stats(train, canonical_needed(expand, eligible), ist)
+    expand = _eligible_expand(known, train, ist, min(thresholds))
+    stats = co_rating_stats(train, canonical_needed(expand), ist)
     per_t = (stats.withColumn("min_co", F.explode(F.array(*[F.lit(int(t)) for t in thresholds])))
              .filter(F.col("n_co") >= F.col("min_co")))
     ok = (F.col("saa") > 0) & (F.col("sbb") > 0)
     per_t = per_t.withColumn("weight", amplify(
         F.when(ok, F.col("sab") / (F.sqrt("saa") * F.sqrt("sbb"))).otherwise(F.lit(0.0)), p))
-    fwd = per_t.select("min_co", F.col("x").alias("item_id"), F.col("y").alias("other"), "weight")
-    rev = per_t.filter(F.col("x") != F.col("y")).select(
-        "min_co", F.col("y").alias("item_id"), F.col("x").alias("other"), "weight")
-    w = fwd.unionByName(rev).filter(F.col("weight") > 0)
+    w = mirrored(per_t.filter(F.col("weight") > 0), "item_id", "other", {"min_co": 1, "weight": 1})
     nb = expand.join(w, ["item_id", "other"])
     win = Window.partitionBy("min_co", "user_id", "item_id").orderBy(
         F.desc(F.round("weight", ORDER_DECIMALS)), F.asc("other"))

@@ -11,7 +11,8 @@ task. Instead:
    joined in, and the other entity's rating is looked up by the unique key
    (by, other). The work is ``sum over needed pairs of min(deg x, deg y)`` —
    a hot entity is only scanned when paired with an even hotter one;
-3. statistics are sums, so Spark combines them map-side before the shuffle.
+3. statistics are sums of whole numbers (``pair_sums``): exact, so independent of
+   the order of rows, and light raters' sums are combined before the shuffle.
 
 Both joins are plain equi-joins: AQE turns them into broadcast joins when a
 side is small at runtime, and splits a skewed key's partition otherwise.
@@ -70,6 +71,50 @@ def common_raters(ratings: DataFrame, pairs: DataFrame, entity_col: str, by_col:
     return basket_pairs.select(*out_cols).unionByName(scanned.select(*out_cols))
 
 
+# Ratings enter the pair sums as whole thousandths, so every sum is exact.
+UNIT = 1000
+
+
+def pair_sums(ratings: DataFrame, pairs: DataFrame, entity_col: str, by_col: str, value: str = "stars",
+              degree: DataFrame | None = None, light_max: int | None = DEFAULT_LIGHT_MAX) -> DataFrame:
+    """(x, y, n, a, b, ab, aa, bb): for each pair with common raters their number
+    and the sums of r_x, r_y, r_x r_y, r_x^2, r_y^2 in whole units (``UNIT`` to a star).
+
+    Basket pairs of light raters are summed in each task before they are shuffled, then
+    kept where the pair is needed; the sums of heavy raters' scans are added.
+    """
+    r = ratings.select(entity_col, by_col, F.round(F.col(value).cast("double") * UNIT).cast("long").alias("v"))
+    if light_max is None:
+        return _sums(_scan_common(r, pairs, entity_col, by_col, ["v"], "x", "y", degree))
+    by_deg = r.groupBy(by_col).agg(F.count(F.lit(1)).alias("_bdeg"))
+    r = r.join(by_deg, by_col)
+    light, heavy = r.filter(F.col("_bdeg") <= light_max), r.filter(F.col("_bdeg") > light_max)
+    one = light.select(by_col, F.col(entity_col).alias("x"), F.col("v").alias("x_v"))
+    two = light.select(by_col, F.col(entity_col).alias("y"), F.col("v").alias("y_v"))
+    baskets = _sums(one.join(two, by_col).filter(F.col("x") <= F.col("y")))
+    baskets = baskets.join(pairs.select("x", "y"), ["x", "y"], "left_semi")
+    scanned = _sums(_scan_common(heavy, pairs, entity_col, by_col, ["v"], "x", "y", degree))
+    names = ["n", "a", "b", "ab", "aa", "bb"]
+    return baskets.unionByName(scanned).groupBy("x", "y").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def _sums(j: DataFrame) -> DataFrame:
+    x, y = F.col("x_v"), F.col("y_v")
+    return j.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"), F.sum(x).alias("a"), F.sum(y).alias("b"),
+                                   F.sum(x * y).alias("ab"), F.sum(x * x).alias("aa"), F.sum(y * y).alias("bb"))
+
+
+def mirrored(df: DataFrame, left: str, right: str, values: dict[str, int]) -> DataFrame:
+    """Rows (x, y, ...) in both directions as (left, right, ...), one row where x = y.
+    ``values``: the columns that go along, with the sign they have in the mirrored row."""
+    there = F.struct(F.col("x").alias("l"), F.col("y").alias("r"), F.lit(False).alias("back"))
+    back = F.struct(F.col("y").alias("l"), F.col("x").alias("r"), F.lit(True).alias("back"))
+    ways = F.explode(F.when(F.col("x") == F.col("y"), F.array(there)).otherwise(F.array(there, back))).alias("_w")
+    return df.select(*values, ways).select(
+        F.col("_w.l").alias(left), F.col("_w.r").alias(right),
+        *[F.col(c) if sign > 0 else F.when(F.col("_w.back"), -F.col(c)).otherwise(F.col(c)).alias(c) for c, sign in values.items()])
+
+
 def _scan_common(ratings: DataFrame, pairs: DataFrame, entity_col: str, by_col: str,
                  values: list[str], x_col: str, y_col: str, degree: DataFrame | None) -> DataFrame:
     if degree is None:

@@ -25,10 +25,16 @@ def item_cf(train: str, pairs: str, pre: str = "cf", k: int = 20, min_co: int =
  from {pre}_cp k join {train} t on t.user_id=k.user_id
  where k.user_id in (select user_id from {pre}_ust) and k.item_id in (select item_id from {pre}_ist)"""))
     c.append((f"{pre}_needed", f"select distinct least(item_id,other) x,greatest(item_id,other) y from {pre}_expand"))
-    c.append((f"{pre}_rc", f"select t.user_id,t.item_id,t.stars-i.item_mean c from {train} t join {pre}_ist i on i.item_id=t.item_id"))
-    c.append((f"{pre}_st", f"""select n.x,n.y,count(*) n_co,sum(a.c*b.c) sab,sum(a.c*a.c) saa,sum(b.c*b.c) sbb
- from {pre}_needed n join {pre}_rc a on a.item_id=n.x join {pre}_rc b on b.item_id=n.y and b.user_id=a.user_id
+    c.append((f"{pre}_tot", f"select item_id,count(*)::hugeint n,sum(stars)::hugeint s from {train} group by item_id"))
+    c.append((f"{pre}_su", f"""select n.x,n.y,count(*)::hugeint n,sum(a.stars)::hugeint a,sum(b.stars)::hugeint b,sum(a.stars*b.stars)::hugeint ab,
+ sum(a.stars*a.stars)::hugeint aa,sum(b.stars*b.stars)::hugeint bb
+ from {pre}_needed n join {train} a on a.item_id=n.x join {train} b on b.item_id=n.y and b.user_id=a.user_id
  group by n.x,n.y"""))
+    c.append((f"{pre}_ex", f"""select s.x,s.y,cast(s.n as bigint) n_co,cast(i.n as double) nx,cast(j.n as double) ny,
+ cast(i.n*j.n*s.ab-i.n*j.s*s.a-j.n*i.s*s.b+s.n*i.s*j.s as double) iab,cast(i.n*i.n*s.aa-2*i.n*i.s*s.a+s.n*i.s*i.s as double) iaa,
+ cast(j.n*j.n*s.bb-2*j.n*j.s*s.b+s.n*j.s*j.s as double) ibb
+ from {pre}_su s join {pre}_tot i on i.item_id=s.x join {pre}_tot j on j.item_id=s.y"""))
+    c.append((f"{pre}_st", f"select x,y,n_co,iab/(nx*ny) sab,iaa/(nx*nx) saa,ibb/(ny*ny) sbb from {pre}_ex"))
     c.append((f"{pre}_w0", f"""select x,y,n_co,case when n_co>={min_co} and saa>0 and sbb>0 then sab/(sqrt(saa)*sqrt(sbb))
  else 0.0 end w0 from {pre}_st"""))
     c.append((f"{pre}_wa", f"select x,y,n_co,w0,w0*pow(abs(w0),{float(p) - 1.0}) weight from {pre}_w0"))
