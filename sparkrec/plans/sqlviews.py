@@ -55,7 +55,7 @@ USER_PROFILE_SQL = f"""select c_custkey user_id,coalesce(r.average_stars,2.5) av
  left join (select user_id,sum(case when event_type='view' then 1 else 0 end) useful,sum(case when event_type='click' then 1 else 0 end) funny,
  sum(case when event_type='purchase' then 1 else 0 end) cool,sum(case when event_type='signup' then 1 else 0 end) fans,
  {','.join(f"sum(case when {J}%11={n} then 1 else 0 end) c{n}" for n in range(11))}
- from events group by user_id) e on e.user_id=c_custkey where c_custkey%50<>7"""
+ from events group by user_id) e on e.user_id=c_custkey"""
 
 
 def _flag(key: str, ko: int, to: int) -> str:
@@ -72,7 +72,7 @@ ITEM_PROFILE_SQL = ("""select s_suppkey item_id,coalesce(r.stars,2.5) stars,coal
                                 _flag("HasTV", 7, 14)])
                     + """,'}') end attributes
  from supplier left join (select item_id,round(avg(stars)*2)/2 stars,count(*) review_count from half_a group by item_id) r
- on r.item_id=s_suppkey where s_suppkey%9<>4""")
+ on r.item_id=s_suppkey""")
 
 
 def view_defs(ratings: str = "ratings_supp", seed: int = 0) -> dict[str, tuple[str, list[str]]]:

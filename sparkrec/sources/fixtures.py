@@ -16,8 +16,6 @@ from sparkrec.operators.split import split_halves
 COLD_OFFSET = 1_000_000_000          # id offset of carved-out cold users/items
 COLD_USER_MOD = 40                   # every 40th user of half B gets a cold twin
 COLD_ITEM_MOD = 10                   # every 10th item of half B gets a cold twin
-NO_USER_PROFILE_MOD, NO_USER_PROFILE_REM = 50, 7
-NO_ITEM_PROFILE_MOD, NO_ITEM_PROFILE_REM = 9, 4
 NULL_ATTRS_MOD, NULL_ATTRS_REM = 7, 3
 EVENT_STARS = [("purchase", 5), ("signup", 4), ("click", 3), ("view", 2)]  # anything else: 1
 # user-profile vote columns counted from event types
@@ -99,12 +97,10 @@ def candidates(half_b: DataFrame, string_items: bool = False, row_no: bool = Fal
     u, i = F.col("user_id"), F.col("item_id")
     cu = u % COLD_USER_MOD == 0
     ci, cold_i = _cold_item(i, string_items)
-    parts = [half_b.select("user_id", "item_id", "stars"),
-             half_b.filter(cu).select((u + F.lit(COLD_OFFSET)).alias("user_id"), "item_id", "stars"),
-             half_b.filter(ci).select("user_id", cold_i.alias("item_id"), "stars"),
-             half_b.filter(cu & ci).select((u + F.lit(COLD_OFFSET)).alias("user_id"),
-                                           cold_i.alias("item_id"), "stars")]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    cold_u = u + F.lit(COLD_OFFSET)
+    ways = [(F.lit(True), u, i), (cu, cold_u, i), (ci, u, cold_i), (cu & ci, cold_u, cold_i)]
+    twin = F.explode(F.array(*[F.struct(k.alias("k"), a.alias("u"), b.alias("i")) for k, a, b in ways])).alias("t")
+    out = half_b.select("stars", twin).filter("t.k").select(F.col("t.u").alias("user_id"), F.col("t.i").alias("item_id"), "stars")
     if row_no:
         # input-line number: position in (user, item) order, as a file would carry it
         key = F.struct("user_id", "item_id")
@@ -124,8 +120,7 @@ def user_profile(spark: SparkSession, sf_dir: str, half_a: DataFrame) -> DataFra
     aggs = [F.sum(F.when(F.col("event_type") == ev, 1).otherwise(0)).alias(col) for col, ev in VOTE_EVENTS]
     aggs += [F.sum(F.when(k % 11 == n, 1).otherwise(0)).alias(f"compliment_{c}") for n, c in enumerate(COMPLIMENTS)]
     votes = e.groupBy("user_id").agg(*aggs)
-    out = (cust.filter(F.col("user_id") % NO_USER_PROFILE_MOD != NO_USER_PROFILE_REM)
-           .join(r, "user_id", "left").join(votes, "user_id", "left"))
+    out = cust.join(r, "user_id", "left").join(votes, "user_id", "left")
     cols = [F.col("user_id"), F.coalesce("average_stars", F.lit(2.5)).alias("average_stars"),
             F.coalesce("review_count", F.lit(0)).cast("long").alias("review_count")]
     cols += [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c, _ in VOTE_EVENTS]
@@ -153,7 +148,7 @@ def item_profile(spark: SparkSession, sf_dir: str, half_a: DataFrame) -> DataFra
     r = half_a.groupBy("item_id").agg(
         (F.round(F.avg(F.col("stars").cast("double")) * 2) / 2).alias("stars"),
         F.count(F.lit(1)).alias("review_count"))
-    out = sup.filter(F.col("item_id") % NO_ITEM_PROFILE_MOD != NO_ITEM_PROFILE_REM).join(r, "item_id", "left")
+    out = sup.join(r, "item_id", "left")
     return out.select("item_id", F.coalesce("stars", F.lit(2.5)).alias("stars"),
                       F.coalesce("review_count", F.lit(0)).cast("long").alias("review_count"),
                       _attr_json(F.col("item_id")).alias("attributes"))
