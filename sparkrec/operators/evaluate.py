@@ -18,20 +18,16 @@ REPORT_METRICS = ["count", "rmse", "avg_diff", "avg_pos_diff", "pos_count", "avg
                   "neg_count"] + HIST_NAMES
 
 
-class MissingTruthError(ValueError):
-    pass
-
-
 def eval_join(pred: DataFrame, truth: DataFrame, keys=("user_id", "item_id"),
-              pred_col="prediction", label_col="stars", strict: bool = False) -> DataFrame:
-    """Prediction rows with their truth. ``strict`` raises when any
-    prediction has no truth (checked with an anti-join count, one action)."""
-    t = truth.select(*keys, F.col(label_col).cast("double").alias("label"))
-    if strict:
-        missing = pred.join(t, list(keys), "left_anti").limit(1).count()
-        if missing:
-            raise MissingTruthError("prediction without truth")
-    return pred.join(t, list(keys))
+              pred_col="prediction", label_col="stars", strict: bool = True) -> DataFrame:
+    """Prediction rows with their truth. A prediction without truth fails the
+    job; with ``strict=False`` such rows are left out."""
+    t = truth.select(*keys, F.col(label_col).cast("double").alias("label"), F.lit(True).alias("_truth"))
+    if not strict:
+        return pred.join(t, list(keys)).drop("_truth")
+    j = pred.join(t, list(keys), "left")
+    missing = F.raise_error(F.lit("prediction without truth")).cast("double")
+    return j.withColumn("label", F.when(F.col("_truth").isNull(), missing).otherwise(F.col("label"))).drop("_truth")
 
 
 def drop_placeholders(df: DataFrame, pred_col="prediction", placeholder=PLACEHOLDER) -> DataFrame:
@@ -75,7 +71,7 @@ def report_from_diff(df: DataFrame, diff: Column) -> DataFrame:
 
 
 def eval_report(pred: DataFrame, truth: DataFrame, keys=("user_id", "item_id"),
-                pred_col="prediction", label_col="stars", strict=False) -> DataFrame:
+                pred_col="prediction", label_col="stars", strict: bool = True) -> DataFrame:
     j = drop_placeholders(eval_join(pred, truth, keys, pred_col, label_col, strict), pred_col)
     return report_from_diff(j, F.col(pred_col) - F.col("label"))
 

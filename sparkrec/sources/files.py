@@ -22,8 +22,10 @@ def _csv(spark: SparkSession, path: str, schema, mode: str = "FAILFAST") -> Data
 
 
 def _drop_header_lines(df: DataFrame) -> DataFrame:
-    """B1: the reference drops *every* line equal to the header, not just the first."""
-    return df.filter(F.col("user_id") != F.lit("user_id"))
+    """B1: the reference drops *every* line equal to the header, not just the first.
+    A line with an empty id isn't a header line and stays."""
+    header = F.col("user_id").eqNullSafe(F.lit("user_id")) & F.col("business_id").eqNullSafe(F.lit("business_id"))
+    return df.filter(~header)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
@@ -35,8 +37,12 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
     """A2: (row_no, user_id, item_id[, stars]). ``row_no`` increases in line
-    order (one input file is split in offset order), which the sink sorts on."""
-    raw = _drop_header_lines(_csv(spark, path, S.CANDIDATES_CSV))
+    order (one input file is split in offset order), which the sink sorts on.
+    Several files have no order among their lines, so only one is accepted."""
+    lines = _csv(spark, path, S.CANDIDATES_CSV)
+    if len(lines.inputFiles()) > 1:
+        raise ValueError(f"{path}: candidates must be one file, as their lines are numbered")
+    raw = _drop_header_lines(lines)
     return raw.select(F.monotonically_increasing_id().alias("row_no"), "user_id",
                       F.col("business_id").alias("item_id"),
                       F.expr("try_cast(stars as double)").alias("stars"))
