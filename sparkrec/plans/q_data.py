@@ -225,13 +225,13 @@ def q_case_amplify(ctx: Ctx):
 
 
 @register("topk_neighbors", sql=with_views(
-    "select user_id,item_id,other,round(weight,6) weight,cast(rank as integer) rank from cf_nb where rank<=5",
-    "half_a", "candidates", extra=cf_sql(k=5)))
+    "select user_id,item_id,other,round(weight,6) weight,cast(rank as integer) rank from cf_nb where rank<=20",
+    "half_a", "candidates", extra=cf_sql()))
 def q_topk_neighbors(ctx: Ctx):
     expand = itemcf.candidate_expand(_known_pairs(ctx), ctx.half_a)
     w = itemcf.both_orientations(_weights(ctx))
     nb = expand.join(w, ["item_id", "other"])
-    return round_doubles(itemcf.topk_neighbors(nb, 5).select("user_id", "item_id", "other", "weight", "rank"))
+    return round_doubles(itemcf.topk_neighbors(nb, 20).select("user_id", "item_id", "other", "weight", "rank"))
 
 
 # --- C14/E6: one output per input line ------------------------------------------------

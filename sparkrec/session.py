@@ -66,6 +66,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir isn't set: a cluster needs a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="sparkrec-ckpt-", dir=os.environ.get("SPARKREC_SCRATCH"))
     sc.setCheckpointDir(path)
     return path
