@@ -61,3 +61,31 @@ def test_switch_blend_picks_lowest_rmse_per_bucket(spark):
     assert chosen[1] == (1, "a")     # 1 rating -> bucket 1
     assert chosen[2] == (2, "b")     # 6 ratings -> bucket 2
     assert chosen[3] == (0, "b")     # unknown user -> bucket 0
+
+
+def test_switch_blend_keeps_pairs_of_unlabelled_buckets(spark):
+    train = spark.createDataFrame([(1, 1, 3.0)], "user_id long, item_id long, stars double")
+    hold = spark.createDataFrame([(1, 9, 4.0)], "user_id long, item_id long, stars double")
+    a = spark.createDataFrame([(1, 9, 1.0), (7, 9, 2.0)], "user_id long, item_id long, prediction double")
+    b = spark.createDataFrame([(1, 9, 4.0), (7, 9, 5.0)], "user_id long, item_id long, prediction double")
+    out = {r.user_id: (r.model, r.prediction) for r in blend.switch_blend({"a": a, "b": b}, train, hold).collect()}
+    assert out == {1: ("b", 4.0), 7: ("a", 2.0)}   # no label for user 7's bucket: the first listed model
+
+
+def test_weights_do_not_depend_on_row_order(spark):
+    """Pairs whose centred sum is exactly 0 weigh exactly 0, however rows are ordered and dealt out."""
+    rng = random.Random(5)
+    rows = []
+    for g in range(12):   # items (2g, 2g + 1): orthogonal deviations around non-terminating means
+        for u, (x, y) in enumerate([(1.0, 1.0), (1.0, 5.0), (5.0, 1.0), (5.0, 5.0), (3.0, 2.0), (3.0, 4.0), (3.0, 3.0)]):
+            rows += [(100 * g + u, 2 * g, x), (100 * g + u, 2 * g + 1, y)]
+    pairs = spark.createDataFrame([(2 * g, 2 * g + 1) for g in range(12)], "x long, y long")
+    seen = set()
+    for parts in (1, 2, 5, 7):
+        rng.shuffle(rows)
+        train = spark.createDataFrame(rows, "user_id long, item_id long, stars double").repartition(parts)
+        w = itemcf.weight_from_stats(itemcf.co_rating_stats(train, pairs), 0, 2.5)
+        got = sorted((r.x, r.n_co, r.sab, r.saa, r.sbb, r.weight) for r in w.collect())
+        assert len(got) == 12 and all(r[2] == 0 and r[5] == 0 for r in got)
+        seen.add(tuple(got))
+    assert len(seen) == 1
