@@ -102,6 +102,7 @@ def with_views(body: str, *names: str, ratings: str = "ratings_supp",
 
     for n in names:
         visit(n)
-    ctes = [f"{n} as ({defs[n][0]})" for n in order]
-    ctes += [f"{n} as ({sql})" for n, sql in (extra or [])]
+    # materialised: the models chain CTEs that several others read, which inlining would multiply
+    ctes = [f"{n} as materialized ({defs[n][0]})" for n in order]
+    ctes += [f"{n} as materialized ({sql})" for n, sql in (extra or [])]
     return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
