@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Doubles leave every query rounded to this many places, so results do not
-# depend on the order in which a shuffle summed them.
+# Doubles leave every query rounded to this many places, which hides all but rare
+# differences of the order in which a shuffle summed them; pair sums are exact.
 OUT_DECIMALS = 6
 # Weights are ordered on this many places before any top-k or argmin; the
 # tie is then broken by the declared id order.
