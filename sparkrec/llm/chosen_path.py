@@ -341,3 +341,16 @@ def _uid_column(text: F.Column) -> F.Column:
         return t.fillna("").map(lambda x: set_id(shingles(x)))
 
     return uid(text)
+
+
+SQL = """
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN 'short' || chr(1) || t
+        ELSE array_to_string(w[i:i + 4], ' ') END AS s FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d) x),
+n AS (SELECT doc_id, count(*) AS k FROM g GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 10 * c >= 8 * (p.k + q.k - c)),
+r(doc_id, reach) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reach)
+SELECT r.doc_id, min(reach) AS class_id, coalesce(max(l.n), 0)::BIGINT AS n_links
+FROM r LEFT JOIN (SELECT x, count(*) AS n FROM e GROUP BY x) l ON l.x = r.doc_id GROUP BY r.doc_id
+"""

@@ -67,4 +67,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_sentencepiece, op2_mixing, op3_imatch, op4_line_dedup, op5_pseudo_likelihood, op6_secret_links, op7_personal_data,
         op8_jaccard_join, op9_block_topk, op10_toxicity)}
 
-ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op9_block_topk": block_topk.SQL}
+ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op8_jaccard_join": chosen_path.SQL, "op9_block_topk": block_topk.SQL}

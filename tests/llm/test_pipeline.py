@@ -46,6 +46,6 @@ def test_stages(spark, tmp_path):
     assert sorted(map(tuple, C.run(spark, SF).collect())) == last
 
 
-@pytest.mark.parametrize("name", ["op4_line_dedup", "op9_block_topk"])
+@pytest.mark.parametrize("name", ["op4_line_dedup", "op8_jaccard_join", "op9_block_topk"])
 def test_sql(spark, name):
     compare(E.queries()[name](spark, SF), duck(SF), E.oracle_sql()[name])
