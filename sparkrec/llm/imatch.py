@@ -29,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -94,6 +95,17 @@ class Lexicon:
         return [digest(hashes[subsets[:, k]].tobytes())[:4] if some[k] else EMPTY for k in range(len(some))]
 
 
+_KEPT: dict[str, Lexicon] = {}
+
+
+def _lexicon(key: str, words) -> Lexicon:
+    """The lexicon of a broadcast word list, kept for a worker's next tasks; one at a time."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Lexicon(words.value)
+    return _KEPT[key]
+
+
 def likeness(a: list[str], b: list[str]) -> float:
     """Share of equal codes on the sparsest levels with enough subsets that aren't empty on both sides; 1 for equal lists."""
     if a == b:
@@ -132,10 +144,10 @@ def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> list[str]:
 
 def fingerprints(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint): the codes of all subsets, joined."""
-    shared = docs.sparkSession.sparkContext.broadcast(words)
+    shared, key = docs.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
 
     def make():
-        lex = Lexicon(shared.value)
+        lex = _lexicon(key, shared)
         return lambda b: {"doc_id": b.column("doc_id"), "fingerprint": ["".join(lex.codes(terms(t))) for t in b.column("text").to_pylist()]}
 
     return map_rows(texts(docs, id_col, text_col), make, "doc_id long, fingerprint string")
@@ -182,13 +194,13 @@ def against_neighbours(docs: DataFrame, band: tuple[float, float] = BAND) -> Dat
     Edited: the last floor(n/3) code points are replaced by the first as many (or
     all) of the next document, in descending doc_id, the first after the last.
     """
-    words = docs.sparkSession.sparkContext.broadcast(lexicon(docs, band))
+    words, key = docs.sparkSession.sparkContext.broadcast(lexicon(docs, band)), uuid.uuid4().hex
     rows, n = _ordered(docs)
     # hosts precede their guest: guests sort last in a range
     dealt = rows.repartitionById(n, F.col("part")).sortWithinPartitions("part", "guest", F.desc("at"), "text")
 
     def make():
-        lex = Lexicon(words.value)
+        lex = _lexicon(key, words)
         before: list = []  # the row that waits for its next one: (part, doc_id, text, codes)
 
         def step(b):
