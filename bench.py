@@ -23,14 +23,13 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
-    from sparkrec.plans.catalog import QUERIES, Ctx
+    from sparkrec.plans.catalog import run
     from sparkrec.session import get_spark
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="sparkrec-bench")
     times, rows = {}, {}
     for name in names:
-        q = QUERIES[name]
         t0 = time.time()
-        df = q.build(Ctx(spark, sf_dir, q.ratings))
+        df = run(spark, name, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)

@@ -1,3 +0,0 @@
-from sparkrec.functions.columns import (  # noqa: F401
-    amplify, clamp, guarded_div, key_hash, pair_key, rnd, split_hash,
-)

@@ -22,10 +22,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def rnd(x, places: int = OUT_DECIMALS) -> Column:
-    return F.round(_c(x), places)
-
-
 def clamp(x, lo: float | None, hi: float | None) -> Column:
     """Clamp into [lo, hi]; null stays null (``greatest`` would skip it)."""
     x = _c(x)
@@ -65,10 +61,6 @@ def key_hash(*cols, seed: int | str = 0, width: int = 4) -> Column:
     return F.conv(hexed, 16, 10).cast("int")
 
 
-def split_hash(user, item, seed: int = 0) -> Column:
-    return key_hash(user, item, seed=seed)
-
-
 def pair_key(user, item) -> Column:
     """The reference's composite text key ``"user,item"`` (output only)."""
     return F.concat_ws(",", _c(user).cast("string"), _c(item).cast("string"))

@@ -59,7 +59,8 @@ def q_dedupe_latest(ctx: Ctx):
 def _basket_sql(key: str, other: str) -> str:
     return (f"select {key},count(*) n,round(sum(cast(stars as double)),6) total,"
             f"round(sum(cast(stars as double)*stars),6) total_sq,"
-            f"cast(sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),1,5) as bigint)) as bigint) digest"
+            f"cast(sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),1,5) as bigint)) as bigint) digest,"
+            f"cast(sum(cast('0x'||substr(md5(concat(cast({other} as varchar),':',cast(stars as varchar))),6,5) as bigint)) as bigint) digest2"
             f" from half_a group by {key}")
 
 

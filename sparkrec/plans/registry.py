@@ -21,6 +21,12 @@ class Query:
 
 QUERIES: dict[str, Query] = {}
 
+# Queries that read the ratings many times: their rating view is written once.
+READS_RATINGS_OFTEN = {
+    "item_item_cf", "item_item_cf_k5", "item_item_cf_bt", "eval_report", "eval_report_long", "threshold_sweep", "slope_one",
+    "slope_one_dev", "user_knn", "co_cluster", "co_cluster_full", "mf_predict", "switch_blend", "linear_blend", "linear_blend_pair",
+    "stack_features", "gbt_profiles", "hybrid_stack", "hybrid_report", "tune", "tune_gbt"}
+
 
 def register(name: str, sql: str | None = None, ratings: str = "supp"):
     def deco(fn):
@@ -84,4 +90,4 @@ class Ctx:
 
 def run(spark: SparkSession, name: str, sf_dir: str) -> DataFrame:
     q = QUERIES[name]
-    return q.build(Ctx(spark, sf_dir, q.ratings))
+    return q.build(Ctx(spark, sf_dir, q.ratings, materialize_inputs=name in READS_RATINGS_OFTEN))

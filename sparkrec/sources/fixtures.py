@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrec.operators.baselines import dedupe_latest, dense_index
-from sparkrec.operators.split import split_halves
 
 # Fixed values of the fixture definitions (FIXTURES.md).
 COLD_OFFSET = 1_000_000_000          # id offset of carved-out cold users/items
@@ -80,10 +79,6 @@ def ratings(spark: SparkSession, sf_dir: str, name: str = "supp") -> DataFrame:
     return RATINGS[name](spark, sf_dir)
 
 
-def halves(spark: SparkSession, sf_dir: str, name: str = "supp", seed: int = 0):
-    return split_halves(ratings(spark, sf_dir, name), seed=seed)
-
-
 def _cold_item(item: F.Column, string_ids: bool) -> tuple[F.Column, F.Column]:
     """(selector, cold id) for carving out cold items."""
     if string_ids:

@@ -1,7 +0,0 @@
-"""No streaming operators.
-
-The reference pipeline is batch only: it has no stream source, watermark,
-window over event time or state store, so nothing is built here. Every
-operator in ``sparkrec.operators`` takes DataFrames and would run unchanged
-inside ``foreachBatch`` if a caller wanted micro-batch scoring.
-"""
