@@ -52,7 +52,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each application, as ``--py-files`` would."""
+    """Give the executors this package's code, once for each application, as ``--py-files`` would.
+
+    The archive is written on the driver only; Spark's own file server hands it out.
+    """
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
