@@ -6,10 +6,11 @@ token (shingle) that a hash of its own makes the least, so that two sets of
 Jaccard likeness J share the group with probability J. Groups of at most
 ``small`` sets are compared by brute force. A larger group is split again by
 ``BRANCH`` further sampled tokens each, down to ``DEPTH`` levels; branching keeps
-the loss of a split to (1 - J)^BRANCH. Runs repeat until a pair at the threshold
+the loss of a split to about (1 - J)^BRANCH. Runs repeat until a pair at the threshold
 is found with probability ``recall``: ceil(log(1 - recall) / log(1 - threshold)).
-What is still large at the last level is compared exactly too, as pairs of
-blocks, so no group has a cap and none needs one task.
+What is still large at the last level is compared exactly too. Any group of more
+than ``BLOCK_SETS`` sets is compared as pairs of blocks, so no group has a cap and
+none needs one task.
 
 Groups with the same members count once, and a pair is compared in the least of
 the groups that both its sets are in. Comparisons are exact (sorted 64-bit
@@ -41,9 +42,10 @@ from sparkrec.llm.common import drop_materialized, map_rows, materialize, ship,
 WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.99999
-SMALL = 1024
-BRANCH = 4
+SMALL = 2048
+BRANCH = 2
 DEPTH = 3
+BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000  # sets of a compared block hold about so many shingles at most
 WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -235,7 +237,7 @@ def _tasks(leaves: DataFrame, small: int) -> DataFrame:
     groups = leaves.groupBy("leaf").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.bit_xor(h).alias("x"),
                                         F.sum(F.pmod(h, F.lit(1 << 31))).alias("s"))
     kept = groups.groupBy("n", "x", "s").agg(F.min("leaf").alias("leaf"), F.max("total").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("n") / F.lit(small)), F.ceil(F.col("total") / F.lit(BLOCK_SHINGLES)))
+    blocks = F.greatest(F.ceil(F.col("n") / F.lit(min(small, BLOCK_SETS))), F.ceil(F.col("total") / F.lit(BLOCK_SHINGLES)))
     kept = kept.select("leaf", F.least(blocks, F.col("n")).cast("int").alias("blocks"))
     own = materialize(leaves.select("uid", "leaf").distinct().join(kept, "leaf"), "path-leaves")
     lists = own.groupBy("uid").agg(F.array_sort(F.collect_list("leaf")).alias("leaves"))  # bounded by runs and branching
