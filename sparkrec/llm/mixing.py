@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import materialize
+from sparkrec.llm.common import materialize, texts
 
 MAX_LABELLED = 20_000
 MAX_TERMS = 20_000
@@ -53,16 +53,17 @@ def label_domains(labels: DataFrame) -> DataFrame:
         "doc_id", F.when(F.col("toxic") > 0, "toxic").when(F.col("quality") > 0, "high").otherwise("low").alias("domain"))
 
 
-def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, h, n_tokens, marks): a document's distinct words and marks; h tells texts of one doc_id apart."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("h"), F.length(text).alias("chars"),
+def _marked(rows: DataFrame, *more: str) -> DataFrame:
+    """(doc_id, h, n_tokens, marks, more) from (doc_id, text, more): a document's distinct words and marks; h tells
+    texts of one doc_id apart."""
+    text = F.col("text")
+    rows = rows.select(*more, "doc_id", F.xxhash64(text).alias("h"), F.length(text).alias("chars"),
                        F.array_remove(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), "").alias("tokens"))
-    rows = rows.select("doc_id", "h", "chars", F.size("tokens").cast("long").alias("n_tokens"), F.array_distinct("tokens").alias("own"))
+    rows = rows.select(*more, "doc_id", "h", "chars", F.size("tokens").cast("long").alias("n_tokens"), F.array_distinct("tokens").alias("own"))
     n = F.greatest(F.col("n_tokens"), F.lit(1))
     shape = F.array(F.lit(ROW), F.concat(F.lit("\u0001new"), F.floor(F.size("own") * 10 / n).cast("string")),
                     F.concat(F.lit("\u0001long"), F.floor(F.least(F.col("chars") / n, F.lit(20))).cast("string")))
-    return rows.select("doc_id", "h", "n_tokens", F.concat("own", shape).alias("marks"))
+    return rows.select(*more, "doc_id", "h", "n_tokens", F.concat("own", shape).alias("marks"))
 
 
 def _terms(docs: DataFrame, domains: DataFrame, names: list[str], max_labelled: int, max_terms: int,
@@ -70,7 +71,7 @@ def _terms(docs: DataFrame, domains: DataFrame, names: list[str], max_labelled:
     """(word, w0, w1, ...): by domain, millionths of a word's log-likelihood ratio to the pooled sample."""
     lab = (domains.select(F.col("doc_id").cast("long").alias("doc_id"), "domain").where("doc_id is not null and domain is not null")
            .groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
-    sample = _marked(docs, id_col, text_col).join(F.broadcast(lab), "doc_id")  # broadcast: max_labelled rows
+    sample = _marked(texts(docs, id_col, text_col).join(F.broadcast(lab), "doc_id"), "domain")  # broadcast: max_labelled rows
     words = sample.select("domain", F.explode("marks").alias("word"))
     n = [F.sum((F.col("domain") == d).cast("long")).alias(f"n{i}") for i, d in enumerate(names)]
     counts = words.groupBy("word").agg(*n).withColumn("n", sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0)))
@@ -94,7 +95,7 @@ def posteriors(docs: DataFrame, domains: DataFrame, max_labelled: int = MAX_LABE
     names = [r.domain for r in domains.select("domain").where("domain is not null").distinct().orderBy("domain").limit(65).collect()]
     if len(names) > 64:
         raise ValueError("more than 64 domains")
-    marked = _marked(docs, id_col, text_col)
+    marked = _marked(texts(docs, id_col, text_col))
     if not names:
         base = marked.groupBy("doc_id", "h").agg(F.count("*").alias("copies"), F.max("n_tokens").alias("n_tokens"))
         return materialize(base.withColumn("p0", F.lit(1.0)), "mix-posteriors"), ["all"]
