@@ -6,8 +6,10 @@ token (shingle) that a hash of its own makes the least, so that two sets of
 Jaccard likeness J share the group with probability J. Groups of at most
 ``small`` sets are compared by brute force. A larger group is split again by
 ``BRANCH`` further sampled tokens each, down to ``DEPTH`` levels; branching keeps
-the loss of a split to about (1 - J)^BRANCH. Runs repeat until a pair at the threshold
-is found with probability ``recall``: ceil(log(1 - recall) / log(1 - threshold)).
+the loss of a split to (1 - J)^BRANCH. Each run has hashes of its own at every level, so
+what one run's splits lose another run can find. A run that splits at all levels finds
+a pair with probability p = J (1 - (1 - J)^BRANCH)^(DEPTH - 1); runs repeat until a pair
+at the threshold is found with probability ``recall``: ceil(log(1 - recall) / log(1 - p)).
 What is still large at the last level is compared exactly too. Any group of more
 than ``BLOCK_SETS`` sets is compared as pairs of blocks, so no group has a cap and
 none needs one task.
@@ -45,14 +47,21 @@ RECALL = 0.99999
 SMALL = 2048
 BRANCH = 2
 DEPTH = 3
+RUN_HASHES = 1 + BRANCH * (DEPTH - 1)  # of a run: one, then BRANCH for each further level
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000  # sets of a compared block hold about so many shingles at most
 WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
-def runs_for(recall: float, threshold: float) -> int:
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold) - 1e-9))
+def runs_for(recall: float, success: float) -> int:
+    """Runs until a pair that one run finds with probability ``success`` is found with probability ``recall``."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - success) - 1e-9))
+
+
+def run_success(threshold: float) -> float:
+    """Least probability that one run finds a pair at the threshold: its group may be split at every level."""
+    return threshold * (1 - (1 - threshold) ** BRANCH) ** (DEPTH - 1)
 
 
 def shingles(text: str, n: int = WORDS) -> np.ndarray:
@@ -209,8 +218,9 @@ def _sketches(docs: DataFrame, n_hashes: int) -> DataFrame:
 
 def _paths(sets: DataFrame, runs: int, small: int) -> DataFrame:
     """(uid, size, leaf, n): the groups of two and more sets that are not split further."""
-    level = sets.select("uid", "size", "picks", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run")).select(
-        "uid", "size", "picks", "run", F.xxhash64(F.col("run"), F.col("picks")[F.col("run")]).alias("leaf"))
+    level = sets.select("uid", "size", "picks", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    level = level.select("uid", "size", F.slice("picks", F.col("run") * RUN_HASHES + 1, RUN_HASHES).alias("own"), "run").select(
+        "uid", "size", "own", F.xxhash64("run", F.col("own")[0]).alias("leaf"))
     done = []
     for depth in range(1, DEPTH + 1):
         groups = level.groupBy("leaf").agg(F.count("*").alias("n")).where("n > 1")
@@ -219,9 +229,9 @@ def _paths(sets: DataFrame, runs: int, small: int) -> DataFrame:
         done.append(level.select("uid", "size", "leaf", "n") if last else level.where(F.col("n") <= small).select("uid", "size", "leaf", "n"))
         if last or level.where(F.col("n") > small).isEmpty():
             break
-        step = [F.lit(runs + BRANCH * (depth - 1) + j) for j in range(BRANCH)]
-        level = level.where(F.col("n") > small).select("uid", "size", "picks", "run", "leaf", F.explode(F.array(*step)).alias("by")).select(
-            "uid", "size", "picks", "run", F.xxhash64("leaf", "by", F.col("picks")[F.col("by")]).alias("leaf"))
+        step = [F.lit(1 + BRANCH * (depth - 1) + j) for j in range(BRANCH)]
+        level = level.where(F.col("n") > small).select("uid", "size", "own", "leaf", F.explode(F.array(*step)).alias("by")).select(
+            "uid", "size", "own", F.xxhash64("leaf", "by", F.col("own")[F.col("by")]).alias("leaf"))
     out = done[0]
     for x in done[1:]:
         out = out.union(x)
@@ -283,8 +293,8 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     number of other documents with likeness at least ``threshold``.
     """
     ship(docs.sparkSession)
-    runs = runs_for(recall, threshold)
-    known = materialize(_sketches(docs, runs + BRANCH * (DEPTH - 1)), "path-sketch")
+    runs = runs_for(recall, run_success(threshold))
+    known = materialize(_sketches(docs, runs * RUN_HASHES), "path-sketch")
     sets = known.groupBy("uid").agg(F.count("*").alias("mult"), F.min("doc_id").alias("first"), F.min("size").alias("size"),
                                     F.min("picks").alias("picks"))
     sets = materialize(sets, "path-sets")

@@ -70,6 +70,31 @@ def test_large_groups_are_split_and_compared_in_blocks(make_docs):
     assert got(C.jaccard_classes(make_docs(rows), small=8)) == brute(rows)
 
 
+def test_a_family_of_different_sets_keeps_its_links(make_docs):
+    """Pairs of likeness 0.8 to 0.85 in one group that is split at all levels: each run must split by tokens of its own."""
+    r, n, words = random.Random(4), 2400, 300
+    rows = []
+    for i in range(n):
+        own = [f"w{k}" for k in range(words)]
+        for at in r.sample(range(words // 6), 3):  # three replaced words, six and more apart
+            own[at * 6] = f"x{i}n{at}"
+        rows.append((i, " ".join(own)))
+    sets = [C.shingles(t) for _, t in rows]
+    size = np.array([len(s) for s in sets], np.float64)
+    inter = C.overlaps(sets).astype(np.float64)
+    like = inter / (size[:, None] + size[None, :] - inter)
+    np.fill_diagonal(like, 0)
+    assert 0.8 < np.quantile(like, 0.01) and np.quantile(like, 0.8) < 0.85
+    found = {x.doc_id: x.n_links for x in C.jaccard_classes(make_docs(rows), small=600).collect()}
+    want = (like >= 0.8).sum(axis=1)
+    lost = sum(int(want[i]) - found[i] for i in range(n))
+    assert 0 <= lost <= 0.0001 * want.sum(), (lost, int(want.sum()))
+
+
+def test_runs_reckon_with_the_splits():
+    assert C.runs_for(0.99999, C.run_success(0.8)) == 9
+
+
 def test_empty(make_docs):
     assert C.jaccard_classes(make_docs([])).count() == 0
     assert C.one_of_each(make_docs([])).count() == 0
