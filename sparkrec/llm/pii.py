@@ -10,7 +10,8 @@ with the source interval each came from.
    characters vanish.
 2. Disguised signs: "[at]", "(dot)", " at ... dot ..." become "@" and "."
    together with the spaces around them; "plus" before a number becomes "+".
-3. Spelled digits: runs of digit words (double and triple too) become digits.
+3. Spelled digits: runs of digit words (double and triple too) become digits, and
+   " dot " between groups of digits becomes ".".
 
 The same patterns run over the result, and each match is mapped back to the
 interval from the first to the last source character it came from. It is added
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
@@ -58,10 +60,31 @@ DOT = re.compile(r"(?i)\x20{0,2}[\[({<]\x20?(?:dot|punkt|point|\.)\x20?[\])}>]\x
 WORDS_AT = re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}(?:\x20{1,2}dot\x20{1,2}[a-z0-9_%+-]{1,64}){0,3}(\x20{1,2}at\x20{1,2}|@)"
                       r"[a-z0-9-]{1,63}(?:(?:\x20{1,2}dot\x20{1,2}|\.)[a-z0-9-]{1,63}){1,4}")
 WORD_DOT = re.compile(r"(?i)\x20{1,2}dot\x20{1,2}")
-# an address in words ends in a domain that is a known kind of top level, so that prose stays prose
-TOP = frozenset("com net org edu gov info biz io co de fr es uk eu example test invalid local".split())
+# an address in words ends in a top level: a country code, a common generic one, or another one if the address shows otherwise
+TOP = frozenset("""
+com net org edu gov mil int arpa info biz name pro mobi jobs travel museum coop aero asia cat tel post xxx
+app dev page blog cloud online site store shop tech space website web xyz top club live life world today news media email mail
+agency academy art bank bar bike bio build business cafe capital care careers cash center chat church city click clinic codes
+coffee community company computer consulting cool credit data date deals delivery design digital direct directory domains earth
+education energy engineering estate events exchange expert express family farm fashion film finance fit foundation fun fund fyi
+gallery games garden global gmbh gold group guide guru health help host hosting house icu immo inc institute international
+investments law legal link llc llp loan local lol love ltd management market marketing money network ngo ninja one ong
+partners photo photography photos plus press productions properties pub recipes rent report rest restaurant reviews rocks run
+school science security services show social software solar solutions studio style support systems team technology tips tools
+tours town trade training university vet video vip wiki win wine work works zone example test invalid onion internal lan home
+ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bv bw by bz ca cc cd cf cg ch ci
+ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gb gd ge gf gg gh gi gl gm gn gp
+gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp kr kw ky kz la lb lc li lk
+lr ls lt lu lv ly ma mc md me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne nf ng ni nl no np nr nu nz om pa pe
+pf pg ph pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd se sg sh si sj sk sl sm sn so sr ss st su sv sx sy sz tc td tf
+tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw
+""".split())
+OTHER_TOP = re.compile(r"[a-z]{2,24}|xn--[a-z0-9-]+")
 ARTICLES = frozenset("the a an this that these those my our your his her its their".split())
 BRACKETED = re.compile(r"(?i)[\[({<]\x20?(?:at|@|dot|punkt|point|\.)\x20?[\])}>]")
+# groups of digits, or single digit words, with dots between them
+_GROUP = rf"(?:[0-9]++|{'|'.join(DIGITS)})"
+DOTTED = re.compile(rf"(?i)(?<![a-z0-9]){_GROUP}(?:(?:\x20{{1,2}}dot\x20{{1,2}}|\.){_GROUP})+(?![a-z0-9])")
 SPELLED_CUES = tuple(d + sep for d in [*DIGITS, *TIMES] for sep in " -,")
 
 
@@ -120,21 +143,23 @@ def tape(text: str) -> Tape:
     return text, list(range(len(text))), list(range(1, len(text) + 1))
 
 
+@lru_cache(maxsize=1 << 16)
+def folded(c: str) -> str:
+    """What the first transducer writes for a character beyond ASCII; the character itself if it looks like no plain one."""
+    if c in HIDDEN:
+        return ""
+    if c in LOOKS:
+        return LOOKS[c]
+    digit = unicodedata.digit(c, None)
+    plain = str(digit) if digit is not None else unicodedata.normalize("NFKC", c)
+    return plain if plain and plain.isascii() else c
+
+
 def look_alikes(t: Tape) -> Tape:
     text, a, b = t
     out, x, y = [], [], []
     for i, c in enumerate(text):
-        if c < "\x80":
-            new = c
-        elif c in HIDDEN:
-            continue
-        else:
-            new = LOOKS.get(c)
-            if new is None:
-                digit = unicodedata.digit(c, None)
-                plain = str(digit) if digit is not None else unicodedata.normalize("NFKC", c)
-                new = plain if plain and plain.isascii() else c
-        for n in new:
+        for n in c if c < "\x80" else folded(c):
             out.append(n)
             x.append(a[i])
             y.append(b[i])
@@ -156,12 +181,19 @@ def _rewritten(t: Tape, changes: list[tuple[int, int, str]]) -> Tape:
     return "".join(out), x + a[at:], y + b[at:]
 
 
+def _address(local: str, host: list[str]) -> bool:
+    """Is it an address in words, not prose: an unlisted top level needs a third part of the host or a sign in the local part."""
+    if host[0] in ARTICLES:
+        return False
+    return host[-1] in TOP or OTHER_TOP.fullmatch(host[-1]) is not None and (len(host) > 2 or re.search(r"[^A-Za-z]", local) is not None)
+
+
 def signs(t: Tape) -> Tape:
     t = _rewritten(t, [(*m.span(), "@") for m in AT.finditer(t[0])] + [(*m.span(), ".") for m in DOT.finditer(t[0])])
     changes = []
     for m in WORDS_AT.finditer(t[0]):
         host = t[0][m.end(1):m.end()].lower()
-        if WORD_DOT.search(m[0]) and re.split(r"[\x20.]+", host)[-1] in TOP and re.split(r"[\x20.]+", host)[0] not in ARTICLES:
+        if WORD_DOT.search(m[0]) and _address(t[0][m.start():m.start(1)], re.split(r"\x20{1,2}dot\x20{1,2}|\.", host)):
             changes.append((*m.span(1), "@"))
             changes += [(m.start() + d.start(), m.start() + d.end(), ".") for d in WORD_DOT.finditer(m[0])]
     return _rewritten(t, changes)
@@ -182,10 +214,21 @@ def digit_words(t: Tape) -> Tape:
             end = at + (words[i + 1].start() if i + 1 < len(words) else w.end())  # separators go with the word before them
             changes.append((lo, end, DIGITS.get(low, w[0]) * times))
             times = 1
-    t = _trimmed(t, changes)
+    t = _digit_dots(_trimmed(t, changes))
     return _rewritten(t, [(*m.span(), "+") for m in PLUS.finditer(t[0])])
 
 
+def _digit_dots(t: Tape) -> Tape:
+    """" dot " between groups of digits, of which some may be single digit words."""
+    changes = []
+    for m in DOTTED.finditer(t[0]):
+        if WORD_DOT.search(m[0]):
+            changes += [(m.start() + d.start(), m.start() + d.end(), ".") for d in WORD_DOT.finditer(m[0])]
+            changes += [(m.start() + w.start(), m.start() + w.end(), DIGITS[w[0].lower()])
+                        for w in re.finditer(r"[A-Za-z]+", m[0]) if w[0].lower() in DIGITS]
+    return _rewritten(t, changes)
+
+
 def _trimmed(t: Tape, changes: list[tuple[int, int, str]]) -> Tape:
     """As ``_rewritten``, but a character's source ends before the separators that its interval ends with."""
     text, _, b = t
@@ -200,8 +243,7 @@ def _trimmed(t: Tape, changes: list[tuple[int, int, str]]) -> Tape:
 
 def disguised(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in source positions, of what shows only after normalising."""
-    odd = not text.isascii() and any(c in LOOKS or c in HIDDEN or unicodedata.digit(c, None) is not None or "＀" <= c <= "￯"
-                                     for c in set(text) if c >= "\x80")
+    odd = not text.isascii() and any(folded(c) != c for c in set(text) if c >= "\x80")
     t = look_alikes(tape(text)) if odd else None
     if not odd and not _cued(text):
         return []

@@ -48,6 +48,27 @@ def test_disguises(text, kind, source):
         assert [(k, text[a:b]) for k, a, b in more] == [(kind, source)]
 
 
+@pytest.mark.parametrize(("text", "kind", "source"), [
+    ("write to 𝐣𝐨𝐡𝐧@𝐞𝐱𝐚𝐦𝐩𝐥𝐞.𝐜𝐨𝐦 now", "email", "𝐣𝐨𝐡𝐧@𝐞𝐱𝐚𝐦𝐩𝐥𝐞.𝐜𝐨𝐦"),
+    ("ⓙⓞⓔ@ⓧ.ⓞⓡⓖ", "email", "ⓙⓞⓔ@ⓧ.ⓞⓡⓖ"),
+    ("jane@oﬃce.org", "email", "jane@oﬃce.org"),
+    *[(f"mail anna at firm dot {top} please", "email", f"anna at firm dot {top}") for top in "it jp cn in ca au nl ch ru us dev ai".split()],
+    ("anna dot roe at firm dot photograph, thanks", "email", "anna dot roe at firm dot photograph"),
+    ("anna at mail dot firm dot insurance", "email", "anna at mail dot firm dot insurance"),
+    ("host 192 dot 168 dot 0 dot 17 answers", "ip", "192 dot 168 dot 0 dot 17"),
+    ("one nine two dot one six eight dot zero dot seven", "ip", "one nine two dot one six eight dot zero dot seven"),
+    ("10 dot 0.0 dot 7", "ip", "10 dot 0.0 dot 7"),
+    ("ring +1 dot 988 dot 555 dot 2485", "phone", "+1 dot 988 dot 555 dot 2485"),
+])
+def test_disguises_of_any_fold_top_level_and_dotted_numbers(text, kind, source):
+    test_disguises(text, kind, source)
+
+
+@pytest.mark.parametrize("text", ["she pointed at polka dot dresses", "he looked at the dot in the picture", "version 2 dot 1 is out", "wait…", "brand™ ½ ﬁne"])
+def test_more_prose_stays_clean(text):
+    assert P.all_spans(text) == ([], [])
+
+
 @pytest.mark.parametrize("text", ["look at the dot com bubble", "one two three go", "at noon (at home) dot matrix", "naïve café — “quotes” · dots…", "x at y", "seven of nine"])
 def test_prose_stays_clean(text):
     assert P.all_spans(text) == ([], [])
