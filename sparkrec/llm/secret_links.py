@@ -4,9 +4,11 @@ Patterns that are strong alone give base spans: assigned secrets, access key ids
 and long hex strings. Other parts of a credential are weak: a user or client
 name, an opaque token, a short password, an address of a service. They are
 reported only when the parts that complete them are in the same scope. A scope
-is an interval of the text: a block of lines without an empty line, cut at
-``SCOPE_CHARS``; parts are joined to the scopes that hold them (an interval join
-on bins of the position), and each scope says which kinds of parts it holds.
+is an interval of the text: from a part to ``SCOPE_CHARS`` behind its end, within
+its block of lines without an empty line. So two parts of a block share a scope
+wherever they lie if the later one begins at most so many characters behind the
+end of the earlier one. Parts are joined to the scopes that hold them (an interval
+join on bins of the position), and each scope says which kinds of parts it holds.
 
 Linked kinds: ``id`` (weak access identifier), ``key`` (weak secret) and
 ``endpoint``. An id is reported where a secret, weak or strong, is in its scope;
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from itertools import accumulate
 
@@ -42,10 +44,10 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # runs are maximal, so the same as runs of a
 
 # Weak parts.
 WEAK_KINDS = ("id", "key", "endpoint")
-IDENT = re.compile(r"""(?i:\b(?:user(?:name)?|login|account(?:_id)?|client_?id|access_?key(?:_?id)?|key_?id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]{3,64})""", re.ASCII)
+IDENT = re.compile(r"""(?i:\b(?:user(?:name)?|login|account(?:_id)?|client_?id|access_?key(?:_?id)?|key_?id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]{3,})""", re.ASCII)
 SHORT = re.compile(r"""(?i:\b(?:pass(?:word|wd)?|pwd|secret|token|api_?key|credential))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=!@#$%-]{4,})""", re.ASCII)
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
-ENDPOINT = re.compile(r"(?:https?|ftp|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)(?::[a-z]+)?://[^\s\"'<>]{3,256}"
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+ENDPOINT = re.compile(r"(?:https?|ftp|jdbc|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)(?::[a-z]+)?://[^\s\"'<>]{3,}"
                       r"|\b(?i:host|endpoint|server|url)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.-]+(?::[0-9]{2,5})?", re.ASCII)
 CUES = ("user", "login", "account", "client", "access", "keyid", "key_id", "pass", "pwd", "secret", "token", "api", "credential",
         "://", "host", "endpoint", "server", "url")
@@ -95,17 +97,20 @@ def weak_parts(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     return kept
 
 
-def scopes(text: str) -> list[tuple[int, int]]:
-    """Blocks between empty lines, cut into intervals of SCOPE_CHARS at most; neighbours of a cut overlap by half."""
-    out, at = [], 0
-    for end in [m.start() for m in BLANK.finditer(text)] + [len(text)]:
-        a = at
-        while end - a > SCOPE_CHARS:
-            out.append((a, a + SCOPE_CHARS))
-            a += SCOPE_CHARS // 2
-        if end > a:
-            out.append((a, end))
-        at = end
+def scopes(text: str, found: list[tuple[str, int, int]] | None = None) -> list[tuple[int, int]]:
+    """From each part to SCOPE_CHARS behind its end, within its block; scopes whose parts an earlier one holds are left out."""
+    if found is None:
+        found = base_spans(text)
+        found = found + weak_parts(text, found)
+    out, spans = [], sorted((a, b) for _, a, b in found)
+    starts, ends = [a for a, _ in spans], [m.start() for m in BLANK.finditer(text)] + [len(text)]
+    held = 0  # parts that begin in the scopes so far
+    for a, b in spans:
+        hi = min(b + SCOPE_CHARS + 1, ends[bisect_right(ends, a)])
+        last = bisect_left(starts, hi)
+        if last > held:
+            out.append((a, hi))
+            held = last
     return out
 
 
@@ -121,7 +126,7 @@ def parts(docs: DataFrame) -> DataFrame:
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 base = base_spans(t)
                 weak = weak_parts(t, base)
-                near = [(a, e) for a, e in scopes(t) if any(a < y and x < e for _, x, y in weak)] if weak else []
+                near = scopes(t, base + weak) if weak else []
                 row = (d, hash64(t) if weak else 0, *[sum(k == x for k, _, _ in base) for x in BASE_KINDS], sha_hex(joined(base)),
                        [{"kind": k, "a": x, "b": y} for k, x, y in base], [{"kind": k, "a": x, "b": y} for k, x, y in weak],
                        [{"a": x, "b": y} for x, y in near])

@@ -62,5 +62,32 @@ def test_linking(make_docs):
     assert by[at + 6].count("id:") == 1 and by[at + 7].count("id:") == 300
 
 
+@pytest.mark.parametrize("gap", [1, 900, 1150, 1999, 2000])
+@pytest.mark.parametrize("start", [0, 850, 900, 1050, 1999, 5003])
+def test_distance_counts_and_not_the_place(make_docs, start, gap):
+    """Parts up to SCOPE_CHARS apart are linked wherever they lie in a long block, parts further apart nowhere."""
+    def text(n):
+        return "." * start + " user: alice42" + " " * (n - 6) + "pwd = hunter22 " + "." * 3000 if n > 6 else "." * start + " user: alice42 pwd=hunter22"
+
+    def linked(t):
+        base = S.base_spans(t)
+        weak = S.weak_parts(t, base)
+        return [w for w in weak if any(lo <= w[1] < hi and any(lo <= v[1] < hi for v in weak if v[0] != w[0]) for lo, hi in S.scopes(t))]
+
+    assert len(linked(text(gap))) == 2
+    assert linked(text(2001)) == []
+
+
+def test_long_parts_are_whole(make_docs):
+    name, url, key = "n" * 72, "https://api.example.com/" + "p/" * 200, "Zx81kQpL0aBcD3fGh9Tt4R" * 20
+    t = f"client_id: {name} at {url} with {key} {'.' * 1990}"
+    late = "." * 900 + " user: alice42 " + "." * 1150 + " pwd: hunter22 " + "." * 3000
+    far = key * 10 + " user: alice42"  # the key begins more than SCOPE_CHARS before the name and ends next to it
+    got = {r.doc_id: r.spans for r in S.scan(make_docs([t, late, far])).collect()}
+    assert [t[int(x.split(":")[1]):int(x.split(":")[2])] for x in got[0].split(",")] == [name, url, key]
+    assert got[1] == f"id:907:914,key:{late.index('hunter')}:{late.index('hunter') + 8}"
+    assert got[2] == f"key:0:{len(key) * 10},id:{far.index('alice')}:{len(far)}"
+
+
 def test_empty(make_docs):
     assert S.scan(make_docs([])).count() == 0
