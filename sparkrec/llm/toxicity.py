@@ -182,7 +182,7 @@ def _calibrate(sample: DataFrame, weights: list[dict[str, float]]) -> dict:
             out = [segments(t, shared.value[1 - p], DRIFT)
                    for t, p in zip(b.column("text").to_pylist(), b.column("part").to_pylist(), strict=True)]
             return {"doc_id": b.column("doc_id"), "toxic": b.column("toxic"), "n": [n for n, _ in out],
-                    "sums": [sorted((s for s, _, _ in segs), reverse=True)[:64] for _, segs in out]}
+                    "sums": [sorted((s for s, _, _ in segs), reverse=True) for _, segs in out]}
         return step
 
     rows = (map_rows(sample.select("doc_id", "text", "toxic", "part"), make,

@@ -93,3 +93,13 @@ def test_without_labels(make_docs, labelled):
     assert T.score_documents(make_docs([]), model).count() == 0
     assert T.without_toxic(make_docs([]), labelled([])).count() == 0
     assert T.fit(docs, labelled([(0, 1, 0), (1, 1, 0)]))["weights"] == {}
+
+
+def test_calibration_keeps_all_segments_of_a_long_text(spark, monkeypatch):
+    text = " ".join(["bad " + "fine " * 30] * 200)
+    weights = {"bad": 6.0, "fine": -1.0}
+    sample = spark.createDataFrame([(1, text, 1, 0), (2, "fine fine", 0, 1)], "doc_id long, text string, toxic int, part int")
+    seen, plain = [], T.features
+    monkeypatch.setattr(T, "features", lambda n, segs, *more: seen.append(len(segs)) or plain(n, segs, *more))
+    T._calibrate(sample, [weights] * 3)
+    assert max(seen) == len(T.segments(text, weights, T.DRIFT)[1]) > 64
