@@ -16,7 +16,7 @@ a query; the best k of all follow from a window whose limit runs before the
 shuffle.
 
 Defined cases: vectors that are null, or hold null or non-finite components, take
-no part; vectors of another length than the most frequent one take no part; equal
+no part, nor do empty ones; vectors of each length are searched among their own; equal
 scores go to the smaller vec_id; repeated rows of a vec_id are each a candidate
 (and each a query, whose own vec_id is never its candidate; such queries share
 their ranks); fewer than k candidates are all returned.
@@ -45,8 +45,7 @@ def whole_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
         v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
     rows = table.where(good).select(F.col(id_col).cast("long").alias("vec_id"),
                                     F.transform(v, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double"))).alias("v"))
-    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("v") == (lengths.n if lengths else 0))
+    return rows.where(F.size("v") > 0)
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
@@ -157,6 +156,17 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id
     spark = table.sparkSession
     ship(spark)
     rows = whole_vectors(table, id_col, vec_col)
+    results = None
+    for r in rows.groupBy(F.size("v").alias("n")).count().orderBy("n").collect():  # a row for each length
+        out = _top_k_of_length(rows.where(F.size("v") == r.n), k, every)
+        results = out if results is None else results if out is None else results.unionByName(out)
+    if results is None:
+        return spark.range(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.col("id").alias("score"))
+    return results
+
+
+def _top_k_of_length(rows: DataFrame, k: int, every: int) -> DataFrame | None:
+    """The result for vectors of one length; none without queries."""
     blocks = materialize(_blocks(rows), "topk-blocks")
     queries = materialize(rows.where(F.col("vec_id") % every == 0).withColumn(
         "chunk", F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, -(-rows.where(F.col("vec_id") % every == 0).count() // (QUERY_CHUNK // 2)))))),
@@ -180,8 +190,6 @@ def top_k(table: DataFrame, k: int = 10, every: int = 100, id_col: str = "vec_id
             number = F.element_at(F.lit(ids.tolist()), F.col("query_no") + 1)
             out = materialize(hits.select(number.alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score"), "topk-part")
             results = out if results is None else results.unionByName(out)
-    if results is None:
-        return spark.range(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.col("id").alias("score"))
     drop_materialized(queries)
     return results
 

@@ -47,6 +47,13 @@ def test_ties_and_few_rows(table):
     assert B.top_k(table([(100, [1.0])])).count() == 0
 
 
+def test_each_length_is_searched_among_its_own(table):
+    r = np.random.default_rng(6)
+    long, short = ([(i, [float(x) for x in r.normal(0, 0.3, n)]) for i in ids] for n, ids in ((8, range(300)), (5, range(1000, 1150))))
+    got = sorted(map(tuple, B.top_k(table([*long, *short, (2000, []), (2100, [1.0])])).collect()))
+    assert got == sorted(brute(long) + brute(short))
+
+
 def test_blocks_below_the_bound_are_not_scored():
     r = np.random.default_rng(5)
     centres = r.normal(0, 2, (20, 8))
