@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparkrec.llm import (block_topk, chosen_path, imatch, line_dedup, mixing, pii, pseudo_lm, ranked_search, secret_links, sentencepiece_bpe,
-                          toxicity)
+from sparkrec.llm import (block_topk, chosen_path, collision_ann, imatch, line_dedup, mixing, pii, prefix_trie, pseudo_lm, ranked_search,
+                          secret_links, sentencepiece_bpe, toxicity)
 from sparkrec.llm.common import read
 
 MIX_WEIGHTS = {"high": 0.8, "low": 0.1, "toxic": 0.1}
@@ -62,6 +62,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -69,7 +77,8 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_mixing, op3_imatch, op4_line_dedup, op5_pseudo_likelihood, op6_secret_links, op7_personal_data,
-        op8_jaccard_join, op9_block_topk, op10_toxicity, op13_ranked_search)}
+        op8_jaccard_join, op9_block_topk, op10_toxicity, op11_collision_ann, op12_prefix_trie,
+        op13_ranked_search)}
 
 ORACLE_SQL: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op8_jaccard_join": chosen_path.SQL, "op9_block_topk": block_topk.SQL,
-                              "op13_ranked_search": ranked_search.SQL}
+                              "op12_prefix_trie": prefix_trie.SQL, "op13_ranked_search": ranked_search.SQL}

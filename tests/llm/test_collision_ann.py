@@ -1,0 +1,130 @@
+"""Nearest neighbours against all pairs, and the windows of a shard."""
+
+import math
+
+import numpy as np
+import pytest
+from sparkrec.llm import collision_ann as C
+from sparkrec.llm import queries as Q
+
+SCHEMA = "vec_id long, embedding array<float>, label int, part long, dim int, q string, copies long"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 0, 1, 2, "q", 3) for i, v in rows], SCHEMA)
+
+
+def brute(rows, k=10, every=100):
+    good = [(i, np.array(v, np.float32).astype(float)) for i, v in rows
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(x != 0 for x in v)]
+    out = {}
+    for i, a in good:
+        if i % every == 0:
+            found = sorted((math.dist(a, b), j) for j, b in good if j != i and len(b) == len(a))
+            out.setdefault(i, []).extend(found)
+    return {i: sorted(f)[:k] for i, f in out.items()}
+
+
+def got(frame):
+    out = {}
+    for r in sorted(frame.collect(), key=lambda r: (r.query_id, r.rank)):
+        out.setdefault(r.query_id, []).append((r.score, r.vec_id))
+        assert r.rank == len(out[r.query_id])
+    return out
+
+
+def recall(found, want):
+    assert set(found) <= set(want)
+    hits = sum(len({i for _, i in found.get(q, [])} & {i for _, i in w}) for q, w in want.items())
+    return hits / max(1, sum(map(len, want.values())))
+
+
+def clouds(n, dim=16, seed=4):
+    r = np.random.default_rng(seed)
+    centres = r.normal(0, 2, (9, dim))
+    return [(i, [float(x) for x in centres[i % 9] + r.normal(0, 0.3, dim)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("room", [0, 1 << 20])
+def test_recall_and_exact_scores(spark, monkeypatch, room):
+    """Chunks broadcast or shuffled, many shards."""
+    for name, value in (("SHARD_ROWS", 150), ("CHUNK_ROWS", 8), ("BROADCAST_BYTES", room)):
+        monkeypatch.setattr(C, name, value)
+    rows = clouds(2000)
+    want, found = brute(rows), got(C.nearest(table(spark, rows)))
+    assert recall(found, want) >= 0.95
+    where = dict(rows)
+    for q, hits in found.items():
+        assert len(hits) == 10 and hits == sorted(hits)
+        for d, i in hits:
+            assert d == pytest.approx(math.dist(np.float32(where[q]).astype(float), np.float32(where[i]).astype(float)), rel=1e-12)
+
+
+def test_data_without_clusters(spark):
+    r = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in r.normal(0, 1, 64)]) for i in range(3000)]
+    assert recall(got(C.nearest(table(spark, rows))), brute(rows)) >= 0.9
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (200, None), (300, [0.0, 0.0]), (400, [nan, 1.0]), (500, [1.0, inf]), (600, []), (700, [1.0, None]),
+            (None, [1.0, 1.0]), (1, [1.0, 0.1]), (2, [1.0, 0.1]), (2, [1.0, 0.1]), (3, [5.0, 5.0]), (800, [1.0, 2.0, 3.0]), (4, [1.0, 2.0, 4.0]),
+            (900, [2.0] * 5), (-100, [3e38, -3e38]), (1000, [1e-30, 0.0]), (100, [0.5, 1.0])]
+    found, want = got(C.nearest(table(spark, rows))), brute(rows)
+    assert {q for q, w in want.items() if w} == set(found)
+    for q, hits in found.items():
+        assert [i for _, i in hits] == [i for _, i in want[q]]
+        assert [d for d, _ in hits] == pytest.approx([d for d, _ in want[q]])
+
+
+def test_few_rows_and_empty_table(spark):
+    assert got(C.nearest(table(spark, []))) == {}
+    assert got(C.nearest(table(spark, [(100, [1.0])]))) == {}
+    assert got(C.nearest(table(spark, [(100, [1.0]), (5, [2.0])]))) == {100: [(1.0, 5)]}
+
+
+def test_many_equal_vectors_and_repeated_rows(spark, monkeypatch):
+    """A third of the rows are one vector, a third one row: ties by id, no group in one shard."""
+    monkeypatch.setattr(C, "SHARD_ROWS", 100)
+    rows = clouds(300, dim=8)
+    same = rows[0][1]
+    rows += [(10_000 + i, same) for i in range(300)] + [(20_001, rows[1][1])] * 300
+    found, want = got(C.nearest(table(spark, rows))), brute(rows)
+    assert found[0] == want[0] == [(0.0, 10_000 + i) for i in range(10)]
+    assert recall(found, want) >= 0.95
+    index = C.build_index(C.vectors(table(spark, rows)))
+    assert sum(len(r.ids) for r in index.collect()) == 601  # the repeated row once
+    assert max(len(r.ids) for r in index.collect()) < 200
+
+
+def _shard(x):
+    order = np.ascontiguousarray(np.argsort(x @ C.directions(x.shape[1]), axis=0, kind="stable").T.astype(np.int32))
+    return C.Shard(x.shape[1], np.arange(len(x)), np.ones(len(x), int), x.tobytes(), order.tobytes())
+
+
+def test_far_vectors_are_not_verified():
+    r = np.random.default_rng(1)
+    x = np.concatenate([r.normal(0, 0.1, (50, 24)), r.normal(4, 0.1, (1950, 24))])
+    (f,) = C.search_shard(_shard(x), [-1], np.zeros((1, 24)), [math.inf], 5)
+    assert f.verified <= 60
+    assert f.places.tolist() == np.argsort(np.linalg.norm(x, axis=1))[:5].tolist()
+
+
+def test_the_count_of_a_vector_within_r_reaches_the_threshold():
+    r = np.random.default_rng(2)
+    deviates = np.abs(r.standard_normal((20_000, C.PROJECTIONS))) <= C.HALF_WIDTH
+    share = (deviates.sum(axis=1) >= C.threshold()).mean()
+    assert share >= C.CERTAINTY - 0.005
+    assert (deviates.sum(axis=1) >= C.threshold() + 1).mean() < C.CERTAINTY
+
+
+def test_distances_beyond_squares():
+    q = np.array([1e200, 0.0])
+    assert C.distances(q, np.array([[-1e200, 0.0], [1e200, 3e-200], [1e200, 0.0]])).tolist() == pytest.approx([2e200, 3e-200, 0.0])
+
+
+def test_query_has_enough_recall(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    assert recall(got(Q.op11_collision_ann(spark, sf)), brute(rows)) >= 0.9
