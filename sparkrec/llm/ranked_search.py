@@ -7,7 +7,7 @@ among them. The index knows nothing of the queries. Terms are the maximal runs o
 ASCII letters, ASCII digits and non-ASCII characters; only A-Z are lower-cased.
 
 ``search`` deals the items into chunks of bounded size and pairs every chunk with every
-shard by a join (small chunk tables are broadcast by Spark, larger ones shuffled to
+shard by a join (up to ``BROADCAST_BYTES`` of chunks are broadcast, more are shuffled to
 salted groups of shards). In a shard, an item's shortest lists, as long as they hold at
 most ``SHORT_SHARE`` of the shard's documents together, are summed term at a time into
 one list of accumulators. That list then counts as one more iterator, bounded by its
@@ -42,7 +42,8 @@ from sparkrec.llm.common import drop_materialized, materialize, ship, shuffle_pa
 
 SHARD_DOCS = 4096
 SHARD_TOKENS = 4_000_000
-CHUNK_TERMS = 32_768
+CHUNK_BYTES = 1 << 20  # of terms and weights
+BROADCAST_BYTES = 8 << 20  # of all chunks; more are shuffled
 SHORT_SHARE = 0.125
 WINDOW = 512
 PIECE = 1 << 20  # characters of a very long text that are split at once
@@ -94,8 +95,8 @@ class _Shard:
         self.lengths.append(found.total())
         self.n_tokens += self.lengths[-1]
 
-    def full(self) -> bool:
-        return len(self.ids) >= SHARD_DOCS or self.n_tokens >= SHARD_TOKENS
+    def full(self, docs: int, tokens: int) -> bool:
+        return len(self.ids) >= docs or self.n_tokens >= tokens
 
     def row(self, shard: int) -> dict:
         term, slot, count = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (self.terms, self.slots, self.counts))
@@ -114,6 +115,7 @@ class _Shard:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The written index: one row for each shard of documents. One pass over the texts, nothing shuffled."""
     ship(docs.sparkSession)
+    most_docs, most_tokens = SHARD_DOCS, SHARD_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -128,7 +130,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for b in batches:
             for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 shard.add(d, t)
-                if shard.full():
+                if shard.full(most_docs, most_tokens):
                     yield out()
                     shard, n = _Shard(), n + 1
         if shard.ids:
@@ -224,10 +226,10 @@ class Best:
         self.score, self.ids = s[top], i[top]
 
 
-def search_shard(index: ShardIndex, terms: list[bytes], best: Best) -> int:
+def search_shard(index: ShardIndex, terms: list[bytes], best: Best, share: float = SHORT_SHARE, window: int = WINDOW) -> int:
     """Adds the shard's documents for one item; returns how many postings were read document at a time."""
     lists = sorted((index.lists[t] for t in terms if t in index.lists), key=lambda p: len(p.slots))
-    n, short, room = len(index.ids), 0, SHORT_SHARE * len(index.ids)
+    n, short, room = len(index.ids), 0, share * len(index.ids)
     while short < len(lists) and len(lists[short].slots) <= room:
         room -= len(lists[short].slots)
         short += 1
@@ -236,7 +238,7 @@ def search_shard(index: ShardIndex, terms: list[bytes], best: Best) -> int:
     if not its:
         return 0
     reach = np.cumsum([p.bound for p in its])  # what its[0..i] can bring together
-    edges = np.arange(0, n + WINDOW, WINDOW)
+    edges = np.arange(0, n + window, window)
     cuts = [np.searchsorted(p.slots, edges) for p in its]
     done = 0
     for w in range(len(edges) - 1):
@@ -245,7 +247,7 @@ def search_shard(index: ShardIndex, terms: list[bytes], best: Best) -> int:
         if first == len(its):
             break
         at = int(edges[w])
-        partial = np.zeros(min(WINDOW, n - at), np.int64)
+        partial = np.zeros(min(window, n - at), np.int64)
         for p, c in zip(its[first:], cuts[first:], strict=True):
             a, b = c[w], c[w + 1]
             partial[p.slots[a:b] - at] += p.scores[a:b]
@@ -294,12 +296,13 @@ def weighted_terms(index: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame
     return terms.join(df.select("term", weight.cast("long").alias("weight")), "term").where(F.col("weight") > 0)
 
 
-def _chunks(items: DataFrame) -> tuple[DataFrame, int]:
-    """(chunk, items) and how many: items dealt into chunks of about CHUNK_TERMS terms."""
-    total = items.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("n")).first().n
-    n = max(1, -(-total // CHUNK_TERMS))
+def _chunks(items: DataFrame) -> tuple[DataFrame, int, int]:
+    """(chunk, items), how many and their bytes: items dealt into chunks of about CHUNK_BYTES."""
+    size = F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + 16 + F.octet_length(t["term"]))
+    total = items.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first().n
+    n = max(1, -(-total // CHUNK_BYTES))
     chunk = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    return items.groupBy(chunk.alias("chunk")).agg(F.collect_list(F.struct("item_id", "terms")).alias("items")), n
+    return items.groupBy(chunk.alias("chunk")).agg(F.collect_list(F.struct("item_id", "terms")).alias("items")), n, total
 
 
 class _Chunk:
@@ -315,14 +318,17 @@ class _Chunk:
                 yield item, None if d == NO_ID else d, s
 
 
-def _paired(index: DataFrame, chunks: DataFrame, n_chunks: int) -> DataFrame:
-    """Every chunk beside every shard, dealt by (chunk, group of shards)."""
+def _paired(index: DataFrame, chunks: DataFrame, n_chunks: int, n_bytes: int) -> DataFrame:
+    """Every chunk beside every shard: chunks of BROADCAST_BYTES at most are broadcast, others shuffled to (chunk, group of shards)."""
     def up_to(n: int):
         return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
+    shards = index.withColumn("chunk", up_to(n_chunks))
+    if n_bytes <= BROADCAST_BYTES:
+        return shards.join(F.broadcast(chunks), "chunk")
     groups = 4 * shuffle_parts(index.sparkSession)
-    shards = index.withColumn("chunk", up_to(n_chunks)).withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(groups)))
-    return shards.join(chunks.withColumn("part", up_to(groups)), ["chunk", "part"])
+    shards = shards.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(groups)))
+    return shards.join(chunks.withColumn("part", up_to(groups)).hint("merge"), ["chunk", "part"])
 
 
 def search(index: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -332,8 +338,9 @@ def search(index: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_
     n_docs, n_tokens = int(size.n), int(size.t)
     terms = weighted_terms(index, item_terms(items, id_col, text_col), n_docs)
     asked = materialize(terms.groupBy("item_id").agg(F.collect_list(F.struct("term", "weight")).alias("terms")), "lex-items")
-    chunks, n_chunks = _chunks(asked)
+    chunks, n_chunks, n_bytes = _chunks(asked)
     ship(spark)
+    share, window, most_open = SHORT_SHARE, WINDOW, OPEN_CHUNKS
     schema = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
     def out(chunk: _Chunk) -> pa.RecordBatch:
@@ -346,17 +353,17 @@ def search(index: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_
             for at in range(b.num_rows):
                 row = b.slice(at, 1).to_pylist()[0]
                 if row["chunk"] not in held:
-                    if len(held) == OPEN_CHUNKS:
+                    if len(held) == most_open:
                         yield out(held.pop(next(iter(held))))
                     held[row["chunk"]] = _Chunk(row["items"], k)
                 chunk = held[row["chunk"]]
                 shard = ShardIndex(row, totals, chunk.weights)
                 for _, terms, best in chunk.items:
-                    search_shard(shard, terms, best)
+                    search_shard(shard, terms, best, share, window)
         for chunk in held.values():
             yield out(chunk)
 
-    found = _paired(index.drop("n_docs", "n_tokens"), chunks, n_chunks).mapInArrow(run, "item_id long, doc_id long, score long")
+    found = _paired(index.drop("n_docs", "n_tokens"), chunks, n_chunks, n_bytes).mapInArrow(run, "item_id long, doc_id long, score long")
     best = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")

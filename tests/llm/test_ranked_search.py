@@ -52,10 +52,10 @@ def corpus(n, seed=1):
     return [(i, " ".join(r.choice(vocabulary, r.integers(1, 60), p=weight))) for i in range(n)], r, vocabulary, weight
 
 
-@pytest.mark.parametrize("share", [0.0, 0.125, 1e9])
-def test_against_all_documents(spark, make_docs, monkeypatch, share):
-    """Only long lists, both kinds, only accumulators: the same result; small shards, windows and chunks."""
-    for name, value in (("SHARD_DOCS", 70), ("WINDOW", 16), ("CHUNK_TERMS", 30), ("SHORT_SHARE", share), ("OPEN_CHUNKS", 2)):
+@pytest.mark.parametrize(("share", "room"), [(0.0, 0), (0.125, 0), (0.125, 1 << 20), (1e9, 1 << 20)])
+def test_against_all_documents(spark, make_docs, monkeypatch, share, room):
+    """Only long lists, both kinds, only accumulators, chunks shuffled or broadcast: the same result; small shards, windows and chunks."""
+    for name, value in (("SHARD_DOCS", 70), ("WINDOW", 16), ("CHUNK_BYTES", 500), ("SHORT_SHARE", share), ("OPEN_CHUNKS", 2), ("BROADCAST_BYTES", room)):
         monkeypatch.setattr(R, name, value)
     docs, r, vocabulary, weight = corpus(600)
     items = [(i, " ".join(r.choice(vocabulary, 8, p=weight))) for i in range(12)]
@@ -99,14 +99,13 @@ def _index(docs, totals=None):
     return row, R.Totals(row["n_docs"], row["n_tokens"])
 
 
-def test_long_lists_are_skipped(monkeypatch):
+def test_long_lists_are_skipped():
     """A rare term sets the k-th best; a common term's postings are then looked up for its documents only."""
-    monkeypatch.setattr(R, "WINDOW", 64)
     docs = [(i, "common filler" if i % 400 else "common rare") for i in range(4000)]
     row, totals = _index(docs)
     index = R.ShardIndex(row, totals, {b"common": 1, b"rare": 9000})
     best = R.Best(3)
-    read = R.search_shard(index, [b"common", b"rare"], best)
+    read = R.search_shard(index, [b"common", b"rare"], best, window=64)
     assert best.ids.tolist() == [0, 400, 800]
     assert read < 4000 / 2
 
