@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -102,3 +103,26 @@ def drop_materialized(df) -> None:
     conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(conf).delete(p, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, once for each application, as ``--py-files`` would.
+
+    Python workers need it for functions that are more than one expression. The archive is written on the driver only; Spark's own file server hands it out.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="sparkrec-code-"), "sparkrec_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
