@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-HEADLINE = ["item_item_cf", "item_item_cf_bt", "eval_report", "threshold_sweep", "slope_one", "user_knn", "co_cluster",
+HEADLINE = ["item_item_cf", "item_item_cf_bt", "eval_report", "threshold_sweep", "slope_one", "user_knn", "co_cluster_full",
             "switch_blend", "mf_predict", "gbt_profiles", "hybrid_stack"]
 
 
