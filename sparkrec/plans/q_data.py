@@ -22,7 +22,7 @@ from sparkrec.sources import fixtures
     "item_profile"))
 def q_item_attr_scan(ctx: Ctx):
     p = FE.parse_attributes(ctx.item_profile).filter(F.col("attrs").isNotNull())
-    return p.select("item_id", F.explode("attrs").alias("attr_key", "attr_value"))
+    return p.select("item_id", F.explode("attrs").alias("attr_key", "v")).select("item_id", "attr_key", F.col("v").cast("string").alias("attr_value"))
 
 
 # --- B5: composite text key ----------------------------------------------------
@@ -314,7 +314,7 @@ def _user_feature_sql(basic: bool) -> str:
 
 
 PARSED_FALSE_SQL = ",".join(f"'{v}'" for v in FE.PARSED_FALSE)
-PRESENCE_FALSE_SQL = ",".join(f"'{v}'" for v in FE.PRESENCE_FALSE)
+PRESENCE_FALSE_SQL = ",".join(f"'{v}'" for v in FE.PRESENCE_FALSE_VALUES)
 
 
 def _flag_sql(key: str, name: str, mode: str) -> str:
@@ -325,7 +325,8 @@ def _flag_sql(key: str, name: str, mode: str) -> str:
     elif mode == "parsed":
         on = f"case when {v} is null or lower(trim({v})) in ({PARSED_FALSE_SQL}) then 0.0 else 1.0 end"
     else:
-        on = f"case when {v} is null or {v} in ({PRESENCE_FALSE_SQL}) then 0.0 else 1.0 end"
+        text = f"json_type(attributes,{path})='VARCHAR'"
+        on = f"case when {v} is null or ({text} and {v}='') or (not {text} and {v} in ({PRESENCE_FALSE_SQL})) then 0.0 else 1.0 end"
     return (f"cast(case when attributes is null then 0.5 when json_extract(attributes,{path}) is null then 0.5 "
             f"else {on} end as double) i_{name}")
 

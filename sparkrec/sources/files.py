@@ -54,7 +54,7 @@ def read_user_profiles(spark: SparkSession, path: str, mode: str = "FAILFAST") -
 
 
 def read_item_profiles(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """A4: JSON lines; ``attributes`` is a map (keys vary per row, may be null)."""
+    """A4: JSON lines; ``attributes`` is a map of typed values (keys vary per row, may be null)."""
     df = spark.read.schema(S.ITEM_JSON).option("mode", mode).json(path)
     return df.withColumnRenamed("business_id", "item_id")
 

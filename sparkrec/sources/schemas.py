@@ -1,7 +1,7 @@
 """Declared schemas of the reference's file formats (never inferred)."""
 
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, MapType, StringType, StructField,
-                               StructType)
+                               StructType, VariantType)
 
 RATINGS_CSV = StructType([StructField("user_id", StringType()), StructField("business_id", StringType()),
                           StructField("stars", DoubleType())])
@@ -26,6 +26,6 @@ ITEM_JSON = StructType([StructField("business_id", StringType()), StructField("n
                         StructField("postal_code", StringType()), StructField("latitude", DoubleType()),
                         StructField("longitude", DoubleType()), StructField("stars", DoubleType()),
                         StructField("review_count", LongType()), StructField("is_open", IntegerType()),
-                        StructField("attributes", MapType(StringType(), StringType())),
+                        StructField("attributes", MapType(StringType(), VariantType())),
                         StructField("categories", StringType()),
                         StructField("hours", MapType(StringType(), StringType()))])

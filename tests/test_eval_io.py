@@ -113,3 +113,39 @@ def test_line_order_survives_split_input(spark):
         assert [tuple(x) for x in body] == rows
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_truth_of_attributes_follows_their_json_type(spark, tmp_path):
+    """Presence mode: texts are true unless empty, JSON values by what they are; from files, JSON text and maps of texts."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from oracle_compare import duck
+    from sparkrec.operators import features as FE
+    from sparkrec.plans.q_data import _item_feature_sql
+    from sparkrec.sources import files
+
+    key, column = "HasTV", "i_tv"
+    true = ["0", "false", "False", "{}", "[]", "none", " ", 1, 0.5, True, {"a": False}, [0]]
+    false = ["", 0, 0.0, False, {}, [], None]
+    lines = [{"business_id": f"b{i}", "stars": 3.0, "review_count": 1, "attributes": {key: v}} for i, v in enumerate([*true, *false])]
+    lines += [{"business_id": "absent", "stars": 3.0, "review_count": 1, "attributes": {"Other": "x"}}, {"business_id": "null", "stars": 3.0, "review_count": 1, "attributes": None}]
+    path = tmp_path / "items.json"
+    path.write_text("\n".join(map(json.dumps, lines)))
+    want = {f"b{i}": float(i < len(true)) for i in range(len(true) + len(false))} | {"absent": 0.5, "null": 0.5}
+    items = files.read_item_profiles(spark, str(path))
+    assert {r.item_id: r[column] for r in FE.item_features(items, mode="presence").collect()} == want
+    rows = [(x["business_id"], x["stars"], 1, None if x["attributes"] is None else json.dumps(x["attributes"])) for x in lines]
+    texts = spark.createDataFrame(rows, "item_id string, stars double, review_count long, attributes string")
+    assert {r.item_id: r[column] for r in FE.item_features(texts, mode="presence").collect()} == want
+    con = duck("/root/testdata/sf0.001")
+    con.execute("create table item_profile(item_id varchar, stars double, review_count bigint, attributes varchar)")
+    con.executemany("insert into item_profile values (?, ?, ?, ?)", rows)
+    twin = con.execute(_item_feature_sql(False, "presence"))
+    at = [d[0] for d in twin.description]
+    assert {r[at.index("item_id")]: r[at.index(column)] for r in twin.fetchall()} == want
+    plain = texts.withColumn("attributes", F.from_json("attributes", "map<string,string>")).filter("item_id in ('b0', 'b1', 'b12', 'null')")
+    assert {r.item_id: r[column] for r in FE.item_features(plain, mode="presence").collect()} == {"b0": 1.0, "b1": 1.0, "b12": 0.0, "null": 0.5}
+    parsed = {r.item_id: r[column] for r in FE.item_features(items).collect()}
+    assert parsed["b0"] == parsed["b1"] == parsed["b2"] == parsed["b5"] == 0.0 and parsed["b9"] == 1.0
