@@ -8,7 +8,10 @@ and renames ``business_id`` to ``item_id``, the name the operators use.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkrec.sources import schemas as S
@@ -23,8 +26,11 @@ def _csv(spark: SparkSession, path: str, schema, mode: str = "FAILFAST") -> Data
 
 def _drop_header_lines(df: DataFrame) -> DataFrame:
     """B1: the reference drops *every* line equal to the header, not just the first.
-    A line with an empty id isn't a header line and stays."""
-    header = F.col("user_id").eqNullSafe(F.lit("user_id")) & F.col("business_id").eqNullSafe(F.lit("business_id"))
+    A line with an empty id isn't a header line and stays. Where stars are still text, they must say so too."""
+    names = ["user_id", "business_id"] + [f.name for f in df.schema if f.name == "stars" and f.dataType.typeName() == "string"]
+    header = F.lit(True)
+    for name in names:
+        header = header & F.col(name).eqNullSafe(F.lit(name))
     return df.filter(~header)
 
 
@@ -35,17 +41,32 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("user_id", F.col("business_id").alias("item_id"), F.col("stars").cast("double").alias("stars"))
 
 
-def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """A2: (row_no, user_id, item_id[, stars]). ``row_no`` increases in line
-    order (one input file is split in offset order), which the sink sorts on.
-    Several files have no order among their lines, so only one is accepted."""
-    lines = _csv(spark, path, S.CANDIDATES_CSV)
-    if len(lines.inputFiles()) > 1:
-        raise ValueError(f"{path}: candidates must be one file, as their lines are numbered")
-    raw = _drop_header_lines(lines)
-    return raw.select(F.monotonically_increasing_id().alias("row_no"), "user_id",
-                      F.col("business_id").alias("item_id"),
-                      F.expr("try_cast(stars as double)").alias("stars"))
+def numbered_lines(spark: SparkSession, paths: list[str], schema) -> DataFrame:
+    """Lines of CSV files with ``row_no``, which counts them in the order of the paths, of the names of a path's files
+    and of the lines of a file, however the files are split.
+
+    A split is known by its file and start (hidden file metadata); within one, ids grow with the lines. One row for each
+    split - its number of lines - is summed up to offsets, the only thing that is ordered in one task. Header lines
+    within a file are numbered before they are dropped, so numbers may have gaps.
+    """
+    parts = []
+    for n, path in enumerate(paths):
+        lines = _csv(spark, path, schema)
+        parts.append(lines.select("*", F.lit(n).alias("_path"), F.col("_metadata.file_path").alias("_file"),
+                                  F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_at")))
+    lines = reduce(DataFrame.unionAll, parts)
+    split = ["_path", "_file", "_start"]
+    sizes = lines.groupBy(*split).agg(F.min("_at").alias("_first"), (F.max("_at") - F.min("_at") + 1).alias("_n"))
+    before = Window.orderBy(*split).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*split, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = lines.join(offsets, split).withColumn("row_no", F.col("_before") + F.col("_at") - F.col("_first"))
+    return numbered.drop(*split, "_at", "_first", "_before")
+
+
+def read_candidates(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """A2: (row_no, user_id, item_id[, stars]) of one file, a folder or a list of these; ``row_no`` is the lines' order, which the sink sorts on."""
+    raw = _drop_header_lines(numbered_lines(spark, [path] if isinstance(path, str) else list(path), S.CANDIDATES_CSV))
+    return raw.select("row_no", "user_id", F.col("business_id").alias("item_id"), F.expr("try_cast(stars as double)").alias("stars"))
 
 
 def read_user_profiles(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
@@ -59,20 +80,61 @@ def read_item_profiles(spark: SparkSession, path: str, mode: str = "FAILFAST") -
     return df.withColumnRenamed("business_id", "item_id")
 
 
+def _prediction_lines(pred: DataFrame, names: list[str], order_col: str | None) -> DataFrame:
+    out = pred
+    if order_col:
+        out = out.repartitionByRange(order_col).sortWithinPartitions(order_col)
+    return out.select(F.col("user_id").alias(names[0]), F.col("item_id").alias(names[1]), F.col("prediction").alias(names[2]))
+
+
+def _write_csv(df: DataFrame, path: str, header: bool) -> None:
+    (df.write.mode("overwrite").option("header", header).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
 def write_predictions(pred: DataFrame, path: str, header: str = PREDICTION_HEADER,
                       order_col: str | None = "row_no") -> None:
     """One line per input line, in input order. The header spelling is
     an option; columns are named after it so the CSV writer emits it verbatim.
     Output is range-partitioned on ``order_col``: part files in name order hold
     the lines in input order, with no single-task sort."""
-    names = header.split(",")
-    out = pred
-    if order_col:
-        out = out.repartitionByRange(order_col).sortWithinPartitions(order_col)
-    out = out.select(F.col("user_id").alias(names[0]), F.col("item_id").alias(names[1]),
-                     F.col("prediction").alias(names[2]))
-    (out.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
-     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    _write_csv(_prediction_lines(pred, header.split(","), order_col), path, header=True)
+
+
+def write_predictions_file(pred: DataFrame, path: str, header: str = PREDICTION_HEADER, order_col: str | None = "row_no") -> None:
+    """A5 as the reference leaves it: one file, one header, lines in input order.
+
+    Tasks write their ranges as part files beside the target; the commit joins them in the
+    order of their names under the header, as a stream through the file system that holds the
+    path (no line is read as a row), and moves the whole file to its place. Until then the
+    target is as it was; part files are deleted whether or not the job succeeds.
+    """
+    spark = pred.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target, parts = jvm.org.apache.hadoop.fs.Path(path), f"{path.rstrip('/')}.parts-{uuid.uuid4().hex}"
+    folder = jvm.org.apache.hadoop.fs.Path(parts)
+    fs = target.getFileSystem(conf)
+    try:
+        _write_csv(_prediction_lines(pred, ["user_id", "item_id", "prediction"], order_col), parts, header=False)
+        whole = jvm.org.apache.hadoop.fs.Path(folder, "whole")
+        out = fs.create(whole, True)
+        try:
+            out.write(bytearray(f"{header}\n".encode()))
+            names = sorted(f.getPath().getName() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+            for name in names:
+                source = fs.open(jvm.org.apache.hadoop.fs.Path(folder, name))
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, conf, False)
+                finally:
+                    source.close()
+        finally:
+            out.close()
+        if fs.exists(target):
+            fs.delete(target, True)
+        if not fs.rename(whole, target):
+            raise OSError(f"{path}: the finished file could not be moved to its place")
+    finally:
+        fs.delete(folder, True)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -56,12 +56,11 @@ def test_truth_dump_and_model_tables(spark):
 
 
 def test_candidate_lines_are_all_kept(spark, tmp_path):
-    """Blank ids stay, each line equal to the header goes, and several files are refused."""
+    """Blank ids stay, each line equal to the header goes, and several files are numbered by name."""
     one = tmp_path / "pairs.csv"
     one.write_text("user_id,business_id,stars\nu1,b1,3\n,b2,4\nuser_id,business_id,stars\nuser_id,b3,2\nu4,,1\n")
     rows = files.read_candidates(spark, str(one)).orderBy("row_no").collect()
     assert [(r.user_id, r.item_id, r.stars) for r in rows] == [("u1", "b1", 3.0), (None, "b2", 4.0), ("user_id", "b3", 2.0), ("u4", None, 1.0)]
     (tmp_path / "more.csv").write_text("user_id,business_id,stars\nu9,b9,3\n")
-    import pytest
-    with pytest.raises(ValueError, match="one file"):
-        files.read_candidates(spark, str(tmp_path))
+    both = files.read_candidates(spark, str(tmp_path)).orderBy("row_no").collect()
+    assert [(r.user_id, r.item_id) for r in both] == [("u9", "b9"), ("u1", "b1"), (None, "b2"), ("user_id", "b3"), ("u4", None)]
