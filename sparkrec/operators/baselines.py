@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrec.functions.columns import attach_row
+from sparkrec.functions.columns import attach_row, key_hash
 
 # Fixed values the reference uses when a user or item has no history.
 UNKNOWN_USER_MEAN = 2.5
@@ -105,8 +105,8 @@ def baskets(ratings: DataFrame, key_col: str, other_col: str, rating_col="stars"
     """Per-key basket summary (D1/D2): size, star sum and sum of squares, and an
     order-free digest of the basket's (other, stars) entries.
 
-    The reference materialises each basket as a list; a list of a hot key is
-    unbounded, so the basket is represented by mergeable aggregates instead.
+    The reference materialises each basket as a list, which ``basket_lists`` gives in bounded
+    pieces; this is the summary by mergeable aggregates.
     Two independent digest sums tell different baskets of a few entries apart
     but for about one in 2^40 pairs; they prove nothing against chosen entries.
     Models never need the list: they join.
@@ -120,6 +120,29 @@ def baskets(ratings: DataFrame, key_col: str, other_col: str, rating_col="stars"
         F.sum(entry_digest(other_col, rating_col, at=1)).alias("digest2"))
 
 
+def basket_lists(ratings: DataFrame, key_col: str, other_col: str, rating_col="stars", size: int = 4096, seed: int = 7) -> DataFrame:
+    """The baskets themselves (D1/D2), as lists of ``size`` entries at most: (key, bucket, part, n, entries), entries being
+    (other, stars) in the order of other.
+
+    A key with n entries is dealt into ceil(2 n / size) buckets by a hash of the other side, so a hot key is many groups
+    that meet in no task; a bucket that still holds more is cut into parts. ``flat_basket`` joins the lists again.
+    """
+    r = ratings.select(key_col, other_col, rating_col)
+    ways = F.ceil(F.lit(2.0) * F.count(F.lit(1)) / F.lit(size)).cast("int")
+    many = r.groupBy(key_col).agg(ways.alias("_ways")).filter(F.col("_ways") > 1)
+    bucket = (key_hash(other_col, seed=seed, width=7) % F.coalesce("_ways", F.lit(1))).cast("int")
+    dealt = r.join(many, key_col, "left").withColumn("bucket", bucket).drop("_ways")
+    place = Window.partitionBy(key_col, "bucket").orderBy(other_col, rating_col)
+    cut = dealt.withColumn("part", F.floor((F.row_number().over(place) - 1) / size).cast("int"))
+    return cut.groupBy(key_col, "bucket", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct(other_col, rating_col))).alias("entries"))
+
+
+def flat_basket(lists: DataFrame, key_col: str) -> DataFrame:
+    """The ratings that ``basket_lists`` was given."""
+    return lists.select(key_col, F.inline("entries"))
+
+
 def entity_counts(ratings: DataFrame, user_col="user_id", item_col="item_id") -> DataFrame:
     return ratings.agg(F.count(F.lit(1)).alias("n_ratings"),
                        F.count_distinct(user_col).alias("n_users"),

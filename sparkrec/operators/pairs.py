@@ -80,10 +80,13 @@ def pair_sums(ratings: DataFrame, pairs: DataFrame, entity_col: str, by_col: str
     """(x, y, n, a, b, ab, aa, bb): for each pair with common raters their number
     and the sums of r_x, r_y, r_x r_y, r_x^2, r_y^2 in whole units (``UNIT`` to a star).
 
-    Basket pairs of light raters are summed in each task before they are shuffled, then
+    A rating finer than a unit raises. Basket pairs of light raters are summed in each task before they are shuffled, then
     kept where the pair is needed; the sums of heavy raters' scans are added.
     """
-    r = ratings.select(entity_col, by_col, F.round(F.col(value).cast("double") * UNIT).cast("long").alias("v"))
+    whole = F.round(F.col(value).cast("double") * UNIT)
+    off = F.abs(F.col(value).cast("double") * UNIT - whole) > 1e-6
+    r = ratings.select(entity_col, by_col, F.when(off, F.raise_error(F.lit(f"a rating is finer than 1/{UNIT}")).cast("long"))
+                       .otherwise(whole.cast("long")).alias("v"))
     if light_max is None:
         return _sums(_scan_common(r, pairs, entity_col, by_col, ["v"], "x", "y", degree))
     by_deg = r.groupBy(by_col).agg(F.count(F.lit(1)).alias("_bdeg"))

@@ -74,6 +74,33 @@ def q_item_baskets(ctx: Ctx):
     return round_doubles(B.baskets(ctx.half_a, "item_id", "user_id"))
 
 
+BASKET_SIZE = 16   # entries of a list at most
+
+
+def _basket_list_sql(key: str, other: str) -> str:
+    h = f"cast('0x'||substr(md5(concat(cast({other} as varchar),':7')),1,7) as int)"
+    return (f"select {key},bucket,part,count(*) n,string_agg(concat({other},':',stars),',' order by {other}) entries from "
+            f"(select *,cast((row_number() over (partition by {key},bucket order by {other})-1)//{BASKET_SIZE} as int) part from "
+            f"(select h.*,cast({h}%greatest(1,cast(ceil(2.0*c.n/{BASKET_SIZE}) as int)) as int) bucket from half_a h "
+            f"join (select {key} k,count(*) n from half_a group by 1) c on c.k=h.{key}) x) y group by {key},bucket,part")
+
+
+def _basket_lists(ctx: Ctx, key: str, other: str):
+    lists = B.basket_lists(ctx.half_a, key, other, size=BASKET_SIZE)
+    text = F.transform("entries", lambda e: F.concat(e[other].cast("string"), F.lit(":"), e["stars"].cast("string")))
+    return lists.select(key, "bucket", "part", "n", F.array_join(text, ",").alias("entries"))
+
+
+@register("user_basket_lists", sql=with_views(_basket_list_sql("user_id", "item_id"), "half_a"))
+def q_user_basket_lists(ctx: Ctx):
+    return _basket_lists(ctx, "user_id", "item_id")
+
+
+@register("item_basket_lists", sql=with_views(_basket_list_sql("item_id", "user_id"), "half_a"))
+def q_item_basket_lists(ctx: Ctx):
+    return _basket_lists(ctx, "item_id", "user_id")
+
+
 # --- D3 ----------------------------------------------------------------------------
 @register("candidates_per_item", sql=with_views(
     "select item_id,count(*) n_candidates,count(distinct user_id) n_users from candidates group by item_id",

@@ -40,3 +40,21 @@ def test_a_row_behind_k_of_its_band_is_in_no_top(spark):
     got = itemcf.nested_topk(frame, [0, 10, 35], 20)
     assert got.count() <= 60
     assert [r.other for r in got.where("rank_35 = 1").collect()] == [35]
+
+
+def test_baskets_rebuild_exactly_and_a_hot_key_is_many_groups(spark):
+    from sparkrec.operators import baselines as B
+
+    rows = [("hot", f"i{n}", float(n % 5)) for n in range(3000)] + [("cold", "i1", 2.0), ("warm", None, 1.0), (None, "i2", 3.0)]
+    frame = spark.createDataFrame(rows, "user_id string, item_id string, stars double")
+    lists = B.basket_lists(frame, "user_id", "item_id", size=50)
+    got = lists.collect()
+    assert max(r.n for r in got) <= 50 and len({r.bucket for r in got if r.user_id == "hot"}) > 60
+    assert all(r.n == len(r.entries) for r in got)
+    assert sorted(map(tuple, B.flat_basket(lists, "user_id").collect()), key=str) == sorted(rows, key=str)
+
+
+def test_ratings_finer_than_the_unit_raise(spark):
+    train = spark.createDataFrame([(u, i, 3.0005) for u in range(3) for i in range(2)], "user_id long, item_id long, stars double")
+    with pytest.raises(Exception, match="finer"):
+        itemcf.item_cf(train, train, min_co=0).collect()
