@@ -3,16 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrec.session import drop_materialized, ensure_checkpoint_dir, materialize
+from sparkrec.session import drop_materialized, ensure_checkpoint_dir, materialize, ship
 
 __all__ = ["drop_materialized", "ensure_checkpoint_dir", "hash64", "map_rows", "materialize", "read", "sha_hex",
            "ship", "shuffle_parts", "texts"]
@@ -48,29 +45,6 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list |
     return df.mapInArrow(run, schema)
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package's code, once for each application, as ``--py-files`` would.
-
-    The archive is written on the driver only; Spark's own file server hands it out.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(sc.applicationId)
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="sparkrec-code-"), "sparkrec_code.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(top):
-            for n in sorted(names):
-                if n.endswith(".py"):
-                    full = os.path.join(folder, n)
-                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
-    sc.addPyFile(path)
-
-
 def _arrow_schema(schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
