@@ -12,12 +12,12 @@ def rows_of(n, seed, ties=False):
             for o in range(n)]
 
 
-@pytest.mark.parametrize("ties", [False, True])
-def test_tops_of_all_thresholds(spark, ties):
+@pytest.mark.parametrize(("ties", "cut"), [(False, True), (True, True), (True, False)])
+def test_tops_of_all_thresholds(spark, ties, cut):
     rows = rows_of(900, 3, ties)
     frame = spark.createDataFrame(rows, "user_id long, item_id long, other long, n_co long, weight double, r_other double")
     ts, k = [35, 0, 10, 20], 7
-    got = itemcf.nested_topk(frame, ts, k).collect()
+    got = itemcf.nested_topk(frame, ts, k, cut).collect()
     for t in ts:
         want = {}
         for u in range(4):
