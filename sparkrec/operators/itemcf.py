@@ -190,7 +190,7 @@ def item_cf_sweep(train: DataFrame, cand: DataFrame, thresholds: list[int], ks:
     The co-rating statistics are computed once; each threshold is a row of an
     ``explode`` over the (small, fixed) threshold list, and each k is a
     conditional sum over one shared rank. (``nested_topk`` ranks a row once for all
-    thresholds; measured at sf0.1 this form is the faster one.) Returns (min_co, k, user_id,
+    thresholds; README has what was measured.) Returns (min_co, k, user_id,
     item_id, prediction).
     """
     ist = item_stats(train)
