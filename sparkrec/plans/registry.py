@@ -24,7 +24,7 @@ QUERIES: dict[str, Query] = {}
 # Queries that read the ratings many times: their rating view is written once.
 READS_RATINGS_OFTEN = {
     "item_item_cf", "item_item_cf_k5", "item_item_cf_bt", "eval_report", "eval_report_long", "threshold_sweep", "slope_one",
-    "slope_one_dev", "user_knn", "co_cluster", "co_cluster_full", "mf_predict", "mf_sgd", "switch_blend", "linear_blend", "linear_blend_pair",
+    "slope_one_dev", "user_knn", "user_knn_blocks", "co_cluster", "co_cluster_full", "mf_predict", "mf_sgd", "switch_blend", "linear_blend", "linear_blend_pair",
     "stack_features", "gbt_profiles", "hybrid_stack", "hybrid_report", "tune", "tune_gbt"}
 
 
