@@ -3,8 +3,8 @@
 A line's key is the line without ASCII white space at its ends and with A-Z
 lower-cased; keys of at least ``min_chars`` code points count. The index keeps
 
-* reference counts, exact: (key, doc_id, refs), refs being the lines of that
-  document with that key;
+* references, exact: (key, doc_id, refs), refs being the lines of that document
+  with that key; and counts: (key, documents that hold it, the largest of them);
 * one cuckoo filter for each shard of the keys, holding a fingerprint of every
   key that has references.
 
@@ -13,7 +13,9 @@ shard's filter doesn't hold is new, so it needs no look-up; only keys that the
 filter may hold are joined with the counts. Deleting documents takes their
 references back, and keys that have none left leave the filter, so a deletion
 undoes an insertion. Shards are sized by the number of keys, filters grow by
-being built again from the counts.
+being built again from the counts, also when a single one is full. ``build``
+inserts a table in ``BATCHES`` batches this way, so from the second on the
+filters' answers decide which keys are joined with the counts.
 
 A key in at least ``min_docs`` documents loses all its lines except in the
 largest doc_id that holds it (there all its lines stay). Other lines stay.
@@ -43,6 +45,7 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 STRIP = " \t\n\x0b\x0c\r"
 SHARD_KEYS = 200_000
+BATCHES = 2
 SLOTS = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -69,8 +72,8 @@ class CuckooFilter:
         return cls(1 << max(4, math.ceil(math.log2(max(items, 1) / (SLOTS * 0.8)))))
 
     @classmethod
-    def of(cls, k1: np.ndarray, k2: np.ndarray) -> CuckooFilter:
-        f = cls.sized(len(k1))
+    def of(cls, k1: np.ndarray, k2: np.ndarray, spare: int = 1) -> CuckooFilter:
+        f = cls.sized(len(k1) * spare)
         while not f.insert(k1, k2):
             f = cls(2 * len(f.table))
         return f
@@ -149,8 +152,9 @@ def postings(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return rows.groupBy("k1", "k2", "doc_id").agg(F.max("refs").alias("refs"))
 
 
+_REFS = "k1 long, k2 long, doc_id long, refs long"
+_COUNTS = "k1 long, k2 long, n long, keeper long"
 _FILTER = "shard int, n_buckets long, slots binary"
-_CHANGE = "shard int, k1 long, k2 long, change int"
 
 
 def _filter_row(shard: int, f: CuckooFilter) -> pa.Table:
@@ -170,22 +174,43 @@ def _keys(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 class LineIndex:
-    """Reference counts and filters as tables; ``insert`` and ``delete`` return a new index."""
+    """References, counts by key and filters as tables; ``insert`` and ``delete`` return a new index.
 
-    def __init__(self, refs: DataFrame, filters: DataFrame, n_shards: int, min_chars: int = MIN_CHARS):
-        self.refs, self.filters, self.n_shards, self.min_chars = refs, filters, n_shards, min_chars
+    ``refs`` (k1, k2, doc_id, refs) and ``counts`` (k1, k2, n, keeper: documents of a key and the
+    largest of them) are exact; ``filters`` hold the keys of ``counts``.
+    """
+
+    def __init__(self, refs: DataFrame, counts: DataFrame, filters: DataFrame, n_shards: int, min_chars: int = MIN_CHARS):
+        self.refs, self.counts, self.filters, self.n_shards, self.min_chars = refs, counts, filters, n_shards, min_chars
 
     @classmethod
-    def build(cls, docs: DataFrame, min_chars: int = MIN_CHARS) -> LineIndex:
+    def build(cls, docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> LineIndex:
+        """The index of all documents, inserted batch by batch: by a hash of doc_id, so each has about as many."""
         spark = docs.sparkSession
-        empty = spark.createDataFrame([], "k1 long, k2 long, doc_id long, refs long")
-        return cls(empty, spark.createDataFrame([], _FILTER), 0, min_chars).insert(docs)
+        index = cls(spark.createDataFrame([], _REFS), spark.createDataFrame([], _COUNTS), spark.createDataFrame([], _FILTER), 0, min_chars)
+        batch = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(batches))
+        for k in range(batches):
+            grown = index.insert(docs.where(batch == k), spare=batches if not index.n_shards else 1)
+            index.drop(grown)
+            index = grown
+        return index
+
+    def drop(self, heir: LineIndex | None = None) -> None:
+        """Deletes the tables that ``heir`` doesn't read."""
+        kept = {id(t) for t in (heir.refs, heir.counts, heir.filters)} if heir else set()
+        for t in (self.refs, self.counts, self.filters):
+            if id(t) not in kept:
+                drop_materialized(t)
 
     def _shard(self, n: int) -> F.Column:
         return F.pmod(F.col("k1"), F.lit(n)).cast("int").alias("shard")
 
-    def _changed(self, changes: DataFrame, filters: DataFrame) -> DataFrame:
-        """Filters after the changes: (shard, k1, k2, change), +1 inserts a key and -1 deletes it."""
+    def _changed(self, changes: DataFrame, filters: DataFrame, spare: int = 1) -> DataFrame:
+        """Filters after the changes: (shard, k1, k2, change), +1 inserts a key and -1 deletes it.
+
+        A filter that can't hold its keys comes back with no buckets. ``spare``: how often as many
+        keys as now a new filter is to have room for.
+        """
         ship(changes.sparkSession)
 
         def change(key, new: pa.Table, old: pa.Table) -> pa.Table:
@@ -193,81 +218,98 @@ class LineIndex:
             k1, k2 = _keys(new)
             add = new.column("change").to_numpy() > 0 if new.num_rows else np.zeros(0, bool)
             if f is None:
-                f = CuckooFilter.of(k1[add], k2[add])
+                f = CuckooFilter.of(k1[add], k2[add], spare)
             else:
                 f.delete(k1[~add], k2[~add])
                 if add.any() and not f.insert(k1[add], k2[add]):
-                    raise RuntimeError("a cuckoo filter is full: reshard() first")
+                    f = CuckooFilter(0)
             return _filter_row(key[0].as_py(), f)
 
         return changes.groupBy("shard").cogroup(filters.groupBy("shard")).applyInArrow(change, _FILTER)
 
     def probe(self, keys: DataFrame) -> DataFrame:
-        """(shard, k1, k2, maybe): may the filters hold the key? False is certain."""
+        """The rows of keys (shard, k1, k2, ...) and maybe: may the filters hold the key? False is certain."""
         ship(keys.sparkSession)
 
         def ask(key, new: pa.Table, old: pa.Table) -> pa.Table:
             f = _stored(old)
             k1, k2 = _keys(new)
             maybe = np.zeros(len(k1), bool) if f is None else f.contains(k1, k2)
-            return pa.table({"shard": new.column("shard"), "k1": new.column("k1"), "k2": new.column("k2"), "maybe": pa.array(maybe)})
+            return new.append_column("maybe", pa.array(maybe))
 
-        return (keys.select("shard", "k1", "k2").groupBy("shard").cogroup(self.filters.groupBy("shard"))
-                .applyInArrow(ask, "shard int, k1 long, k2 long, maybe boolean"))
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in keys.schema)
+        return keys.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(ask, f"{schema}, maybe boolean")
 
-    def insert(self, docs: DataFrame) -> LineIndex:
-        """Adds documents; those that the index already has are left as they are."""
-        new = materialize(postings(docs, self.min_chars), "line-refs")
-        keys = new.groupBy("k1", "k2").agg(F.lit(1).alias("one"))
+    def insert(self, docs: DataFrame, spare: int = 1) -> LineIndex:
+        """Adds documents; those that the index already has are left as they are, whatever their text is now."""
+        new = postings(docs, self.min_chars)
+        if self.n_shards:
+            new = new.join(self.refs.select("doc_id").distinct(), "doc_id", "left_anti").select("k1", "k2", "doc_id", "refs")
+        new = materialize(new, "line-refs")
         if not self.n_shards:
-            n = max(1, math.ceil(keys.count() / SHARD_KEYS))
-            changes = keys.select(self._shard(n), "k1", "k2", F.lit(1).alias("change"))
-            return LineIndex(new, materialize(self._changed(changes, self.filters), "line-filters"), n, self.min_chars)
-        asked = materialize(self.probe(keys.select(self._shard(self.n_shards), "k1", "k2")), "line-probe")
-        known = asked.where("maybe").join(self.refs.groupBy("k1", "k2").agg(F.lit(1).alias("held")), ["k1", "k2"], "left")
-        fresh = (asked.where("not maybe").select("shard", "k1", "k2")
-                 .union(known.where("held is null").select("shard", "k1", "k2")).withColumn("change", F.lit(1)))
-        refs = materialize(self.refs.union(new.join(self.refs.select("doc_id").distinct(), "doc_id", "left_anti")
-                                           .select("k1", "k2", "doc_id", "refs")), "line-refs")
-        out = LineIndex(refs, self.filters, self.n_shards, self.min_chars)
-        out = out._grown(fresh)
-        drop_materialized(asked)
-        drop_materialized(new)
+            counts = materialize(_counted(new), "line-counts")
+            n = max(1, math.ceil(spare * counts.count() / SHARD_KEYS))
+            changes = counts.select(self._shard(n), "k1", "k2", F.lit(1).alias("change"))
+            filters = materialize(self._changed(changes, self.filters, spare), "line-filters")
+            return LineIndex(new, counts, filters, n, self.min_chars)
+        asked = materialize(self.probe(_counted(new).select(self._shard(self.n_shards), "k1", "k2", "n", "keeper")), "line-probe")
+        # the filters' answer: only keys that they may hold are looked up in the counts, the others are new
+        old = self.counts.select("k1", "k2", F.col("n").alias("held"), F.col("keeper").alias("held_keeper"))
+        met = old.join(asked.where("maybe").select("k1", "k2", "n", "keeper"), ["k1", "k2"], "full").select(
+            "k1", "k2", (F.coalesce("held", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n"),
+            F.greatest("held_keeper", "keeper").alias("keeper"), F.isnull("held").alias("fresh"))
+        grown = materialize(met.union(asked.where("not maybe").select("k1", "k2", "n", "keeper", F.lit(True))), "line-counts")
+        refs = materialize(self.refs.union(new), "line-refs")
+        out = LineIndex(refs, grown, self.filters, self.n_shards, self.min_chars)._grown(grown.where("fresh"))
+        for t in (asked, new):
+            drop_materialized(t)
         return out
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """Takes back what the documents (column doc_id) had added."""
         ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
         refs = materialize(self.refs.join(ids, "doc_id", "left_anti").select("k1", "k2", "doc_id", "refs"), "line-refs")
-        touched = self.refs.join(ids, "doc_id", "left_semi").select("k1", "k2").distinct()
-        gone = touched.join(refs.select("k1", "k2").distinct(), ["k1", "k2"], "left_anti")
+        touched = materialize(self.refs.join(ids, "doc_id", "left_semi").select("k1", "k2").distinct(), "line-touched")
+        again = _counted(refs.join(touched, ["k1", "k2"], "left_semi"))
+        counts = materialize(self.counts.select("k1", "k2", "n", "keeper").join(touched, ["k1", "k2"], "left_anti").union(again), "line-counts")
+        gone = touched.join(counts, ["k1", "k2"], "left_anti")
         changes = gone.select(self._shard(max(self.n_shards, 1)), "k1", "k2", F.lit(-1).alias("change"))
-        return LineIndex(refs, materialize(self._changed(changes, self.filters), "line-filters"), self.n_shards, self.min_chars)
+        filters = materialize(self._changed(changes, self.filters), "line-filters")
+        drop_materialized(touched)
+        return LineIndex(refs, counts, filters, self.n_shards, self.min_chars)
 
     def _grown(self, fresh: DataFrame) -> LineIndex:
-        """With the fresh keys in the filters; shards are dealt anew when they get too full."""
-        n_keys = self.refs.select("k1", "k2").distinct().count()
-        if n_keys <= 0.9 * self._room():
-            return LineIndex(self.refs, materialize(self._changed(fresh, self.filters), "line-filters"), self.n_shards, self.min_chars)
-        return self.reshard(math.ceil(2 * n_keys / SHARD_KEYS))
+        """With the fresh keys in the filters; shards are dealt anew when they get too full, or one of them does."""
+        n_keys = self.counts.count()
+        if n_keys > 0.9 * self._room():
+            return self.reshard(math.ceil(2 * n_keys / SHARD_KEYS))
+        changes = fresh.select(self._shard(self.n_shards), "k1", "k2", F.lit(1).alias("change"))
+        filters = materialize(self._changed(changes, self.filters), "line-filters")
+        if filters.where("n_buckets = 0").isEmpty():
+            return LineIndex(self.refs, self.counts, filters, self.n_shards, self.min_chars)
+        drop_materialized(filters)
+        return self.reshard(self.n_shards)
 
     def _room(self) -> int:
-        return self.filters.agg(F.coalesce(F.min("n_buckets"), F.lit(0))).first()[0] * SLOTS * self.n_shards
+        return self.filters.agg(F.coalesce(F.sum("n_buckets"), F.lit(0))).first()[0] * SLOTS
 
     def reshard(self, n_shards: int) -> LineIndex:
         n = max(1, n_shards)
-        changes = self.refs.select("k1", "k2").distinct().select(self._shard(n), "k1", "k2", F.lit(1).alias("change"))
+        changes = self.counts.select(self._shard(n), "k1", "k2", F.lit(1).alias("change"))
         empty = self.refs.sparkSession.createDataFrame([], _FILTER)
-        return LineIndex(self.refs, materialize(self._changed(changes, empty), "line-filters"), n, self.min_chars)
+        return LineIndex(self.refs, self.counts, materialize(self._changed(changes, empty), "line-filters"), n, self.min_chars)
 
     def doomed(self, min_docs: int = MIN_DOCS) -> DataFrame:
         """(doc_id, keys array<struct<k1,k2>>): the keys whose lines each document loses."""
-        common = (self.refs.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
-                  .where(F.col("n") >= min_docs).select("k1", "k2", "keeper"))
+        common = self.counts.where(F.col("n") >= min_docs).select("k1", "k2", "keeper")
         hit = self.refs.join(common, ["k1", "k2"]).where("doc_id <> keeper")
         return hit.groupBy("doc_id").agg(F.collect_list(F.struct("k1", "k2")).alias("keys"))  # a document's own lines
 
 
+def _counted(refs: DataFrame) -> DataFrame:
+    return refs.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))
+
+
 def _kept(text: str, drop: set[tuple[int, int]], min_chars: int) -> tuple[int, list[str]]:
     lines = text.split("\n")
     if not drop:

@@ -93,6 +93,46 @@ def test_insert_and_delete_are_reversible(make_docs):
     assert {r.doc_id for r in more.delete(make_docs([(12, "")]).select("doc_id")).doomed().collect()} == {0, 1, 2, 3, 10}
 
 
+def test_changed_text_of_a_known_document_changes_nothing(make_docs):
+    base = L.LineIndex.build(make_docs([(i, f"{LONG}\n{'only in document ' * 4}{i}") for i in range(4)]))
+    before = state(base)
+    other = make_docs([(1, "another text of document one, long enough to be a key")])
+    again = base.insert(other)
+    assert state(again) == before
+    probe = L.postings(other).select(again._shard(again.n_shards), "k1", "k2")
+    assert again.probe(probe).where("maybe").count() == 0
+    gone = again.delete(other.select("doc_id"))
+    assert gone.probe(probe).where("maybe").count() == 0 and state(gone)[1] == state(gone)[2] == before[2] - 1
+
+
+def test_counts_follow_the_references(make_docs):
+    first = [(i, f"{LONG}\n{'only in document ' * 4}{i}") for i in range(4)]
+    second = [(i, f"{LONG}\n{'only in document ' * 4}{i % 4}") for i in range(10, 15)]
+    index = L.LineIndex.build(make_docs(first)).insert(make_docs(second)).delete(make_docs([(14, ""), (2, "")]).select("doc_id"))
+    want = collections.defaultdict(list)
+    for r in index.refs.collect():
+        want[r.k1, r.k2].append(r.doc_id)
+    assert {(r.k1, r.k2): (r.n, r.keeper) for r in index.counts.collect()} == {k: (len(v), max(v)) for k, v in want.items()}
+
+
+def test_a_key_the_filters_deny_is_not_looked_up(make_docs):
+    """With filters that hold nothing, known keys count as new ones: it is the filters' answer that decides."""
+    index = L.LineIndex.build(make_docs([(i, LONG) for i in range(4)]))
+    blind = L.LineIndex(index.refs, index.counts, index.filters.limit(0), index.n_shards)
+    later = make_docs([(9, LONG)])
+    assert index.insert(later).doomed().count() == 4
+    assert [r.fresh for r in blind.insert(later).counts.orderBy("fresh").collect()] == [False, True]
+
+
+def test_a_full_shard_is_dealt_anew(make_docs):
+    """Filters too small for a batch are built again from the counts."""
+    index = L.LineIndex.build(make_docs([(0, "x" * 50)]))
+    lines = ["\n".join(f"document {d} has line {i} of its own, and it is long enough" for i in range(60)) for d in range(1, 6)]
+    more = index.insert(make_docs(list(enumerate(lines, 1))))
+    refs, held, keys = state(more)
+    assert held == keys == 301
+
+
 def test_reshard_keeps_the_decisions(make_docs):
     index = L.LineIndex.build(make_docs([f"{LONG}\n{i}" for i in range(7)]))
     other = index.reshard(5)
