@@ -243,7 +243,7 @@ _CODECS: dict[str, Codec] = {}
 
 def codec(vocab: dict) -> Codec:
     """One codec for each vocabulary in a worker, kept for its next tasks."""
-    key = hashlib.sha256(repr((vocab["pieces"][:400], vocab["pieces"][-400:], len(vocab["pieces"]))).encode()).hexdigest()
+    key = hashlib.sha256(repr([vocab[k] for k in ("pieces", "scores", "kinds", "unk")]).encode("utf-8", "surrogatepass")).hexdigest()
     if key not in _CODECS:
         _CODECS[key] = Codec(vocab)
     return _CODECS[key]

@@ -71,3 +71,10 @@ def test_tables_round_trip(make_docs):
     docs = make_docs(texts)
     back = M.decode_documents(M.encode_documents(docs, piece_model()), piece_model())
     assert {r.doc_id: r.text for r in back.collect()} == {i: t or "" for i, t in enumerate(texts)}
+
+
+def test_vocabularies_that_differ_in_one_score_have_codecs_of_their_own():
+    vocab = M.load_pieces(piece_model())
+    at = len(vocab["scores"]) // 2
+    other = {**vocab, "scores": [x - (i == at) for i, x in enumerate(vocab["scores"])]}
+    assert M.codec(vocab) is M.codec(vocab) and M.codec(other) is not M.codec(vocab)
