@@ -38,7 +38,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    return pseudo_lm.score_documents(docs, pseudo_lm.fit(docs))
+    return pseudo_lm.fit_and_score(docs)
 
 
 def op6_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,3 +79,71 @@ def test_empty(make_docs):
     assert P.score_documents(docs, P.fit(docs, rounds=1)).count() == 0
     some = make_docs([None, ""])
     assert [r.n_tokens for r in P.score_documents(some, P.fit(some, rounds=1)).collect()] == [0, 0]
+
+
+def test_weights_do_not_depend_on_the_dealing(make_docs, monkeypatch):
+    """Several shards, dealt to one task and to eight: the same weights, to the last bit."""
+    monkeypatch.setattr(P, "SHARD", 700)
+    docs = make_docs([*grammar(120), None, ""])
+    one, many = (P.fit(docs.repartition(n)) for n in (1, 8))
+    assert np.array_equal(one["flat"], many["flat"])
+    a, b = ({r.doc_id: r.log_prob for r in P.score_documents(docs.repartition(n), one).collect()} for n in (1, 8))
+    assert all(abs(a[k] - b[k]) < 0.01 for k in a)
+
+
+def plain_training(texts, vocab, rounds):
+    """One shard's training, token by token, in doubles."""
+    coder = P.Coder(vocab)
+    start = P.Network(coder.n_inputs, class_share=vocab["class_share"])
+    w = {n: getattr(start, n).astype(float) for n in P.Network.SHAPES}
+    for k in range(rounds):
+        square = {n: np.full(v.shape, 0.01) for n, v in w.items()}
+        rows = []
+        for t in texts:
+            codes = coder.codes(P.words(t or ""))
+            line = [0] * P.SIDE + codes + [0] * P.SIDE
+            rows += [([coder.input[line[i + P.SIDE + o]] for o in (-2, -1, 1, 2)], coder.cls[codes[i]])
+                     for i in P.masked(len(codes), len(codes), k, rounds)]
+        for a in range(0, len(rows), P.STEP):
+            step, grads = rows[a:a + P.STEP], {n: np.zeros_like(v) for n, v in w.items()}
+            for x, y in step:
+                c = np.concatenate([w["e"][i] for i in x])
+                h = np.tanh(c @ w["w1"] + w["b1"][0])
+                z = h @ w["w2"] + w["b2"][0]
+                g = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+                g[y] -= 1
+                back = (w["w2"] @ g) * (1 - h * h)
+                grads["w2"] += np.outer(h, g)
+                grads["b2"][0] += g
+                grads["w1"] += np.outer(c, back)
+                grads["b1"][0] += back
+                for j, i in enumerate(x):
+                    grads["e"][i] += (w["w1"] @ back)[j * P.EMBED:(j + 1) * P.EMBED] * 8
+            for n, g in grads.items():
+                g /= len(step)
+                square[n] += g * g
+                w[n] -= P.RATE * g / np.sqrt(square[n] + 1e-6)
+    return np.concatenate([w[n].ravel() for n in P.Network.SHAPES])
+
+
+def test_training_against_plain(make_docs):
+    texts = [*grammar(60), None, "", "one unknown word here"]
+    docs = make_docs(texts)
+    model = P.fit(docs.repartition(5), rounds=2)
+    assert np.abs(model["flat"] - plain_training(texts, model["vocab"], 2)).max() < 2e-3
+
+
+def test_a_document_fed_in_pieces(make_docs):
+    """Batches of codes, whatever their cut, train on the same positions in the same steps."""
+    coder = P.Coder(P.vocabulary(make_docs(grammar(20)), size=50))
+    codes = [coder.packed(P.words(t)) for t in [*grammar(30), "", "red " * 3_000]]
+    flat = P.Network(coder.n_inputs).flat
+    changes = []
+    for size in (1, 7, 40):
+        work = P.ShardTraining(flat, coder.n_inputs)
+        for a in range(0, len(codes), size):
+            batch = P.Batch(P.pa.array(codes[a:a + size], P.pa.binary()), coder)
+            for x, y in batch.windows(P.picked(batch, 1, 2)):
+                work.add(x, coder.cls[y])
+        changes.append(work.change())
+    assert np.array_equal(changes[0], changes[1]) and np.array_equal(changes[0], changes[2])
