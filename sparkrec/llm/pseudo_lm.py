@@ -7,7 +7,7 @@ softmax over token classes. The frequent tokens are classes of their own, the
 others share classes; within a class a token has its share of the corpus counts,
 so probabilities are over whole tokens. A token outside the vocabulary has the
 even share of all such types of its class. The vocabulary grows with the square
-root of the number of types.
+root of the number of types, up to the size that may be broadcast.
 
 Texts are tokenised twice, for the counts and for their codes; the codes (two bytes a
 token while the vocabulary allows it) are written once, and training and scores read
@@ -18,7 +18,7 @@ documents, in order of id, from the shared weights and gives its change, weighed
 positions. A round masks one position in so many as there are rounds, another one each
 time, so all rounds together train on every position once. Changes are added as whole
 numbers, by parameter row, so the weights depend neither on the order of sums nor on how
-rows are dealt to tasks. Only the network (some hundred kB to some ten MB) and the
+rows are dealt to tasks. Only the network (some hundred kB to 17 MB) and the
 vocabulary are broadcast.
 
 Defined cases: null text is empty; a text without words has 0 tokens, sum 0 and
@@ -47,6 +47,7 @@ from sparkrec.llm.common import drop_materialized, map_rows, materialize, ship,
 WORD = re.compile(r"\w+")
 VOCAB = 4096  # words at least
 VOCAB_ROOT = 8  # words for each square root of the number of types
+VOCAB_MOST = 1 << 18  # bounds what is broadcast: 17 MB of embeddings, some 40 MB of words
 OWN_CLASSES = 40
 SHARED_CLASSES = 24
 OOV_INPUTS = 512
@@ -82,7 +83,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def vocabulary(docs: DataFrame, size: int | None = None) -> dict:
     """Frequent words with class and log share, and for each shared class the log share of an unknown type."""
     counts = materialize(word_counts(docs), "lm-counts")
-    size = size or max(VOCAB, math.isqrt(VOCAB_ROOT ** 2 * counts.count()))
+    size = size or min(max(VOCAB, math.isqrt(VOCAB_ROOT ** 2 * counts.count())), VOCAB_MOST)
     top = counts.orderBy(F.desc("n"), "word").limit(size).collect()  # the vocabulary
     known = {r.word: r.n for r in top}
     edge = (top[-1].n, top[-1].word) if top else (0, "")
