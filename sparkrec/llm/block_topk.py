@@ -43,8 +43,14 @@ def whole_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embe
     v = F.col(vec_col)
     good = F.col(id_col).isNotNull() & v.isNotNull() & F.forall(
         v, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    rows = table.where(good).select(F.col(id_col).cast("long").alias("vec_id"),
-                                    F.transform(v, lambda x: F.floor(F.lit(float(SCALE)) * x.cast("double"))).alias("v"))
+
+    def whole(x):
+        scaled = F.lit(float(SCALE)) * x.cast("double")
+        # non-finite ones are null here, since the filter above may run after this
+        return F.when(F.abs(scaled) < F.lit(2.0**63), F.floor(scaled)).when(
+            F.abs(x.cast("double")) < F.lit(float("inf")), F.raise_error(F.lit("a component does not fit into 64 bits")).cast("long"))
+
+    rows = table.where(good).select(F.col(id_col).cast("long").alias("vec_id"), F.transform(v, whole).alias("v"))
     return rows.where(F.size("v") > 0)
 
 
@@ -81,9 +87,17 @@ def _matrix(vectors: bytes, n: int) -> np.ndarray:
 
 def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """a @ b.T in whole numbers; through doubles where they hold every sum exactly."""
-    if a.size and b.size and np.abs(a).max() * float(np.abs(b).max()) * a.shape[1] < 2**52:
+    if not a.size or not b.size:
+        return a @ b.T
+    most = float(np.abs(a.astype(np.float64)).max()) * float(np.abs(b.astype(np.float64)).max()) * a.shape[1]
+    if most < 2**52:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < 2**62:
+        return a @ b.T
+    sums = a.astype(object) @ b.astype(object).T
+    if max(sums.max(), -sums.min()) >= 2**63 - 1:
+        raise OverflowError("an inner product does not fit into 64 bits")
+    return sums.astype(np.int64)
 
 
 class Best:
@@ -114,6 +128,9 @@ def search_blocks(blocks: list[dict], q: np.ndarray, best: Best) -> int:
     low = np.array([b["low"] for b in blocks], np.float64)
     up, down = np.maximum(q, 0).astype(np.float64), np.minimum(q, 0).astype(np.float64)
     bounds = up @ high.T + down @ low.T  # whole numbers, exact under 2**53
+    size = up @ np.abs(high).T - down @ np.abs(low).T
+    if size.size and size.max() >= 2**52:
+        bounds = bounds + size * (q.shape[1] + 4) * 2.0**-51
     order = np.argsort(-bounds, axis=1, kind="stable")
     alive, done = np.arange(len(q)), 0
     for turn in range(len(blocks)):

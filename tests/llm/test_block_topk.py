@@ -70,3 +70,19 @@ def test_blocks_below_the_bound_are_not_scored():
     for n, i in enumerate((0, 333, 777)):
         want = sorted((-int(q[n] @ v), j) for j, v in rows if j != i)[:5]
         assert [(-s, j) for s, j in zip(best.score[n].tolist(), best.ids[n].tolist())] == want
+
+
+@pytest.mark.parametrize("base", [2.0**20, 1.3e6])
+def test_large_components(table, monkeypatch, base):
+    """Scores past 2^60 are exact, also where doubles would round them and bounds are rounded."""
+    monkeypatch.setattr(B, "BLOCK", 32)
+    monkeypatch.setattr(B, "RANGE_ROWS", 64)
+    r = np.random.default_rng(5)
+    rows = [(i, [base + r.integers(0, 8) / 8, float(r.integers(-9, 9)), -base + r.integers(0, 8) / 8]) for i in range(400)]
+    assert sorted(map(tuple, B.top_k(table([(i, [float(x) for x in v]) for i, v in rows])).collect())) == brute(rows)
+
+
+@pytest.mark.parametrize("x", [4e6, 1e17])
+def test_scores_past_64_bits_raise(table, x):
+    with pytest.raises(Exception, match="64 bits"):
+        B.top_k(table([(0, [x, x]), (1, [x, x])]), k=2).collect()
