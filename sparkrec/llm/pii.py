@@ -55,11 +55,12 @@ _DIGIT = "|".join([*DIGITS, *TIMES])
 SPELLED = re.compile(rf"(?i)(?<![a-z])(?:{_DIGIT})(?:[\x20,-]{{1,2}}(?:{_DIGIT}|[0-9]+))+(?![a-z])")
 PLUS = re.compile(r"(?i)(?<![a-z])plus[\x20]{1,2}(?=[0-9])")
 # the sign in brackets of any kind, or as a word of its own between words
-AT = re.compile(r"(?i)\x20{0,2}[\[({<]\x20?(?:at|@)\x20?[\])}>]\x20{0,2}")
-DOT = re.compile(r"(?i)\x20{0,2}[\[({<]\x20?(?:dot|punkt|point|\.)\x20?[\])}>]\x20{0,2}")
-WORDS_AT = re.compile(r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}(?:\x20{1,2}dot\x20{1,2}[a-z0-9_%+-]{1,64}){0,3}(\x20{1,2}at\x20{1,2}|@)"
-                      r"[a-z0-9-]{1,63}(?:(?:\x20{1,2}dot\x20{1,2}|\.)[a-z0-9-]{1,63}){1,4}")
-WORD_DOT = re.compile(r"(?i)\x20{1,2}dot\x20{1,2}")
+_LEAD = r"(?:(?<!\x20)\x20++)?"
+AT = re.compile(rf"(?i){_LEAD}[\[({{<]\x20*+(?:at|@)\x20*+[\])}}>]\x20*+")
+DOT = re.compile(rf"(?i){_LEAD}[\[({{<]\x20*+(?:dot|punkt|point|\.)\x20*+[\])}}>]\x20*+")
+RUN = re.compile(r"[A-Za-z0-9._%+-]+")
+WORDED_HOST = re.compile(r"(?i)[a-z0-9-]++(?:(?:\x20++dot\x20++|\.)[a-z0-9-]++)++")
+WORD_DOT = re.compile(r"(?i)(?<!\x20)\x20++dot\x20++")
 # an address in words ends in a top level: a country code, a common generic one, or another one if the address shows otherwise
 TOP = frozenset("""
 com net org edu gov mil int arpa info biz name pro mobi jobs travel museum coop aero asia cat tel post xxx
@@ -81,10 +82,10 @@ tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf
 """.split())
 OTHER_TOP = re.compile(r"[a-z]{2,24}|xn--[a-z0-9-]+")
 ARTICLES = frozenset("the a an this that these those my our your his her its their".split())
-BRACKETED = re.compile(r"(?i)[\[({<]\x20?(?:at|@|dot|punkt|point|\.)\x20?[\])}>]")
+BRACKETED = re.compile(r"(?i)[\[({<]\x20*+(?:at|@|dot|punkt|point|\.)\x20*+[\])}>]")
 # groups of digits, or single digit words, with dots between them
 _GROUP = rf"(?:[0-9]++|{'|'.join(DIGITS)})"
-DOTTED = re.compile(rf"(?i)(?<![a-z0-9]){_GROUP}(?:(?:\x20{{1,2}}dot\x20{{1,2}}|\.){_GROUP})+(?![a-z0-9])")
+DOTTED = re.compile(rf"(?i)(?<![a-z0-9]){_GROUP}(?:(?:\x20++dot\x20++|\.){_GROUP})+(?![a-z0-9])")
 SPELLED_CUES = tuple(d + sep for d in [*DIGITS, *TIMES] for sep in " -,")
 
 
@@ -188,14 +189,45 @@ def _address(local: str, host: list[str]) -> bool:
     return host[-1] in TOP or OTHER_TOP.fullmatch(host[-1]) is not None and (len(host) > 2 or re.search(r"[^A-Za-z]", local) is not None)
 
 
+def _worded(text: str) -> list[tuple[int, int, int, int]]:
+    """(start, at, host, end) of addresses in words, leftmost and non-overlapping, with any number of parts.
+
+    One pass over the words: each knows where the chain of words with dots between them began that it ends."""
+    runs = [m.span() for m in RUN.finditer(text)]
+    low = [text[a:b].lower() if b - a <= 3 else "" for a, b in runs]
+
+    def apart(i: int) -> bool:
+        """Are there spaces, and nothing else, behind run i?"""
+        gap = text[runs[i][1]:runs[i + 1][0]]
+        return bool(gap) and not gap.strip(" ")
+
+    spaced = [apart(i) for i in range(len(runs) - 1)] + [False]
+    first, out, free, last = list(range(len(runs))), [], 0, 0
+    for i in range(len(runs) - 1):
+        if i >= 2 and low[i - 1] == "dot" and spaced[i - 1] and spaced[i - 2]:
+            first[i] = first[i - 2]
+        if text[runs[i][1]:runs[i + 1][0]] == "@":
+            host = runs[i + 1][0]
+        elif low[i + 1] == "at" and spaced[i] and spaced[i + 1]:
+            host = runs[i + 2][0]
+        else:
+            continue
+        while free < len(runs) and runs[free][0] < last:
+            free += 1
+        start = max(first[i], first[i] + (free - first[i] + 1) // 2 * 2)  # what an address before it took is gone
+        if start <= i and (m := WORDED_HOST.match(text, host)):
+            last = m.end()
+            out.append((runs[start][0], runs[i][1], host, last))
+    return out
+
+
 def signs(t: Tape) -> Tape:
     t = _rewritten(t, [(*m.span(), "@") for m in AT.finditer(t[0])] + [(*m.span(), ".") for m in DOT.finditer(t[0])])
-    changes = []
-    for m in WORDS_AT.finditer(t[0]):
-        host = t[0][m.end(1):m.end()].lower()
-        if WORD_DOT.search(m[0]) and _address(t[0][m.start():m.start(1)], re.split(r"\x20{1,2}dot\x20{1,2}|\.", host)):
-            changes.append((*m.span(1), "@"))
-            changes += [(m.start() + d.start(), m.start() + d.end(), ".") for d in WORD_DOT.finditer(m[0])]
+    changes, text = [], t[0]
+    for lo, at, host, end in _worded(text) if " dot " in text.lower() else ():
+        dots = list(WORD_DOT.finditer(text, lo, at)) + list(WORD_DOT.finditer(text, host, end))
+        if dots and _address(text[lo:at], re.split(r"\x20++dot\x20++|\.", text[host:end].lower())):
+            changes += [(at, host, "@"), *((*d.span(), ".") for d in dots)]
     return _rewritten(t, changes)
 
 

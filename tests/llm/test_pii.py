@@ -1,6 +1,7 @@
 """Base spans against the stated patterns, and disguises mapped back to their places."""
 
 import re
+import time
 
 import pytest
 
@@ -85,3 +86,31 @@ def test_query_rows(make_docs):
     assert [w[-1] for w in want] == ["", "email:0:9,ip:14:22", "email:0:9,ip:14:22", "phone:0:17", "email:0:17"]
     assert P.scan(make_docs([])).count() == 0
     assert {r.text for r in P.redacted(make_docs(rows)).collect()} == {"", "[email] and [ip]", "[phone]", "[email]"}
+
+
+@pytest.mark.parametrize("source", [
+    "a dot b dot c dot d dot e dot f at mail dot example dot com",
+    "anna at one dot two dot three dot four dot five dot six dot com",
+    "anna   at   firm    dot   org", "anna    [  at  ]   firm   (   dot )    org",
+    "x" * 80 + " at firm dot org", "joe@mail   dot firm dot org"])
+def test_any_number_of_parts_and_spaces(source):
+    text = f"write to: {source}, soon"
+    lo = text.index(source)
+    assert ("email", lo, lo + len(source)) in P.all_spans(text)[1]
+
+
+def test_addresses_in_words_do_not_overlap():
+    text = "a dot b at c dot com dot d at e dot org dot f"
+    assert P._worded(text) == [(0, text.index(" at"), text.index("c dot"), text.index(" at e"))]
+    text = "ann at firm dot org or bob dot lee at home dot net"
+    assert [text[a:b] for a, _, _, b in P._worded(text)] == ["ann at firm dot org or bob dot lee"[:19], "bob dot lee at home dot net"]
+
+
+@pytest.mark.parametrize("unit", ["a dot ", "at dot ", "dot ", " ", "a at ", "one ", "[ ", "1 dot ", "a@b dot ", "plus  "])
+def test_long_repeats_take_time_in_proportion(unit):
+    times = []
+    for n in (20_000, 160_000):
+        start = time.perf_counter()
+        P.all_spans(unit * (n // len(unit)) + " dot [at] one two")
+        times.append(time.perf_counter() - start)
+    assert times[1] < 30 * times[0] + 0.5
