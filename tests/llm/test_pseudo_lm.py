@@ -147,3 +147,18 @@ def test_a_document_fed_in_pieces(make_docs):
                 work.add(x, coder.cls[y])
         changes.append(work.change())
     assert np.array_equal(changes[0], changes[1]) and np.array_equal(changes[0], changes[2])
+
+
+def test_fitted_and_scored_at_once(spark):
+    """Repeated rows, null ids and further columns with the operator's own names; every row comes back."""
+    rows = [(i, t, "x", 7) for i, t in enumerate(grammar(40))]
+    rows += [rows[0]] * 3 + [(None, rows[1][1], None, None), (None, None, None, None), (50, "", "y", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, codes string, shard int")
+    got = P.fit_and_score(docs).collect()
+    assert len(got) == len(rows)
+    assert len({(r.n_tokens, r.log_prob) for r in got if r.doc_id == 0}) == 1
+    assert sorted(r.n_tokens for r in got if r.doc_id is None) == sorted((0, len(P.words(rows[1][1]))))
+    model = P.fit(docs)
+    apart = sorted(((r.doc_id or -1, r.n_tokens, round(r.log_prob, 1)) for r in P.score_documents(docs, model).collect()))
+    assert apart == sorted((r.doc_id or -1, r.n_tokens, round(r.log_prob, 1)) for r in got)
+    assert P.fit_and_score(docs.limit(0)).count() == 0
