@@ -21,8 +21,8 @@ of c's turns from d to o(c) - 1; its childless nodes are the members c that own
 childless node at their end. A second walk over the same shards adds these up.
 
 Defined cases: rows without conv_id take no part; null role or text is empty; a null turn
-comes first; equal turns of a conversation are ordered by role, then by a digest of the
-text; repeated rows are turns of their own; an empty table gives an empty result.
+comes first; equal turns of a conversation are ordered by role, then by text, both as
+bytes; repeated rows are turns of their own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -56,8 +56,8 @@ def ordered_turns(table: DataFrame, conv: str = "conv_id", turn: str = "turn", r
 
     rows = table.where(F.col(conv).isNotNull()).select(
         F.col(conv).cast("long").alias("conv_id"), F.col(turn).alias("turn"), r.alias("role"), half(1).alias("t1"), half(17).alias("t2"),
-        F.regexp_count(t, F.lit(WORDS)).cast("long").alias("words"))
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "t1", "t2")
+        t.alias("text"), F.regexp_count(t, F.lit(WORDS)).cast("long").alias("words"))
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text")
     return rows.select("conv_id", F.row_number().over(order).cast("long").alias("pos"), "t1", "t2", "words")
 
 

@@ -94,6 +94,14 @@ def test_odd_rows(spark):
     assert got(P.rebuilt_trie(table(spark, rows))) == brute(rebuilt(in_order(rows)))
 
 
+def test_equal_turns_are_ordered_by_role_and_text(spark):
+    r = np.random.default_rng(5)
+    rows = [(c, (None, 3)[int(r.integers(0, 2))], (None, "user")[int(r.integers(0, 2))], f"{r.choice(['b', 'a', 'B', 'é', ''])} {c % 3}")
+            for c in range(40) for _ in range(6)]
+    assert got(P.conversation_trie(table(spark, rows))) == brute(in_order(rows))
+    assert got(P.rebuilt_trie(table(spark, rows))) == brute(rebuilt(in_order(rows)))
+
+
 def test_empty_table(spark):
     assert got(P.rebuilt_trie(table(spark, []))) == []
     assert got(P.rebuilt_trie(table(spark, [(None, 1, "user", "x")]))) == []
