@@ -308,7 +308,7 @@ def trie(turns: DataFrame) -> DataFrame:
     for t in (dealt, parts, nodes):
         drop_materialized(t)
 
-    # a parent of a thousandth of all nodes is one of a thousand at most: those are broadcast
+    # a parent of a thousandth of all nodes is one of a thousand at most: those are broadcast; the root's key is its own parent's
     hot_from = max(1000, full.count() // 1000)
     parents = full.select(F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent_conv_id"), "children")
     hot = F.broadcast(parents.where(F.col("children") > hot_from).drop("children"))
@@ -317,7 +317,7 @@ def trie(turns: DataFrame) -> DataFrame:
     held = F.col("parent_conv_id").isNotNull() | (F.col("depth") == 0)
     near, far = below.where(held), below.where(~held).drop("parent_conv_id").join(cold, ["p1", "p2"])
     return near.unionByName(far).select(
-        "conv_id", "depth", "parent_conv_id", "n_convs", F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
+        "conv_id", "depth", F.when(F.col("depth") > 0, F.col("parent_conv_id")).alias("parent_conv_id"), "n_convs", F.col("children").alias("n_children"), F.col("leaves").alias("n_leaves"),
         F.col("saved").alias("saved_tokens"), F.coalesce("sha", F.lit(EMPTY_SHA)).alias("ends_sha256"))
 
 

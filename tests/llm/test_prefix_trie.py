@@ -102,6 +102,11 @@ def test_equal_turns_are_ordered_by_role_and_text(spark):
     assert got(P.rebuilt_trie(table(spark, rows))) == brute(rebuilt(in_order(rows)))
 
 
+def test_a_root_with_very_many_children_has_no_parent(spark):
+    rows = [(c, 1, "user", f"first {c}") for c in range(1200)]
+    assert got(P.conversation_trie(table(spark, rows))) == brute(in_order(rows))
+
+
 def test_empty_table(spark):
     assert got(P.rebuilt_trie(table(spark, []))) == []
     assert got(P.rebuilt_trie(table(spark, [(None, 1, "user", "x")]))) == []
