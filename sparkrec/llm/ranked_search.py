@@ -1,14 +1,17 @@
 """Ranked lexical search: summed accumulators of short lists inside document-at-a-time skipping over long lists.
 
 ``build_index`` cuts the documents into shards of bounded size as they are read and
-writes one row for each: its documents' ids and lengths and, for each term, the
-postings (slot, occurrences) with the largest occurrence count and the least length
-among them. The index knows nothing of the queries. Terms are the maximal runs of
-ASCII letters, ASCII digits and non-ASCII characters; only A-Z are lower-cased.
-
-``search`` deals the items into chunks of bounded size and pairs every chunk with every
-shard by a join (up to ``BROADCAST_BYTES`` of chunks are broadcast, more are shuffled to
-salted groups of shards). In a shard, an item's shortest lists, as long as they hold at
+writes a row for each shard, its documents' ids and lengths, and one for each of its
+terms: the postings (slot, occurrences) with the largest occurrence count and the least
+length among them. No row is larger than a shard's documents, so files and batches of
+rows stay small however many shards a task has. The index knows nothing of the queries.
+Terms are the maximal runs of ASCII letters, ASCII digits and non-ASCII characters; only
+A-Z are lower-cased.
+
+``search`` deals the items into chunks of bounded size and joins their terms with the
+postings (up to ``BROADCAST_BYTES`` of terms are broadcast, more are shuffled). What is
+joined is dealt by shard, in order of shard and chunk, so a task holds one shard's lists of
+one chunk at a time. In a shard, an item's shortest lists, as long as they hold at
 most ``SHORT_SHARE`` of the shard's documents together, are summed term at a time into
 one list of accumulators. That list then counts as one more iterator, bounded by its
 largest sum, beside the long lists, each bounded by its weight at the largest occurrence
@@ -38,12 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrec.llm.common import drop_materialized, materialize, ship, shuffle_parts
+from sparkrec.llm.common import drop_materialized, materialize, ship
 
 SHARD_DOCS = 4096
 SHARD_TOKENS = 4_000_000
 CHUNK_BYTES = 1 << 20  # of terms and weights
-BROADCAST_BYTES = 8 << 20  # of all chunks; more are shuffled
+BROADCAST_BYTES = 8 << 20  # of all chunks' terms; more are shuffled
 SHORT_SHARE = 0.125
 WINDOW = 512
 PIECE = 1 << 20  # characters of a very long text that are split at once
@@ -71,8 +74,9 @@ def count_terms(text: bytes | None) -> Counter:
 
 # ---------------------------------------------------------------- index
 
-INDEX = ("shard long, n_docs int, n_tokens long, ids binary, lengths binary, terms array<binary>, sizes array<int>, "
-         "most array<int>, least array<int>, slots binary, counts binary")
+#: A shard's row has no term, its terms' rows no documents.
+INDEX = ("shard long, n_docs int, n_tokens long, ids binary, lengths binary, term binary, size int, most int, least int, "
+         "slots binary, counts binary")
 
 
 class _Shard:
@@ -112,8 +116,28 @@ class _Shard:
                 "slots": slot.tobytes(), "counts": count.tobytes()}
 
 
+def _index_rows(row: dict) -> pa.RecordBatch:
+    """A shard as rows of the index: the documents, then the terms."""
+    n = len(row["terms"])
+    ends = np.concatenate([[0, 0], np.cumsum(row["sizes"], dtype=np.int64)]).astype(np.int32) * 4  # the first row has no postings
+
+    def first(value, of: pa.DataType) -> pa.Array:
+        return pa.concat_arrays([pa.array([value], of), pa.nulls(n, of)])
+
+    def each(values, of: pa.DataType) -> pa.Array:
+        return pa.concat_arrays([pa.nulls(1, of), pa.array(values, of)])
+
+    def lists(data: bytes) -> pa.Array:
+        return pa.Array.from_buffers(pa.binary(), n + 1, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+    made = {"shard": pa.array(np.full(n + 1, row["shard"], np.int64)), "slots": lists(row["slots"]), "counts": lists(row["counts"]),
+            **{c: first(row[c], INDEX_ARROW.field(c).type) for c in ("n_docs", "n_tokens", "ids", "lengths")},
+            "term": each(row["terms"], pa.binary()), **{c: each(row[c + "s" * (c == "size")], pa.int32()) for c in ("size", "most", "least")}}
+    return pa.RecordBatch.from_arrays([made[f.name] for f in INDEX_ARROW], schema=INDEX_ARROW)
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The written index: one row for each shard of documents. One pass over the texts, nothing shuffled."""
+    """The written index: a row for each shard of documents and for each of its terms. One pass over the texts, nothing shuffled."""
     ship(docs.sparkSession)
     most_docs, most_tokens = SHARD_DOCS, SHARD_TOKENS
 
@@ -123,26 +147,22 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         first, n = TaskContext.get().partitionId() << 32, 0
         shard = _Shard()
 
-        def out() -> pa.RecordBatch:
-            row = shard.row(first + n)
-            return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in INDEX_ARROW], schema=INDEX_ARROW)
-
         for b in batches:
-            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                shard.add(d, t)
+            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
+                shard.add(d, t.as_py())
                 if shard.full(most_docs, most_tokens):
-                    yield out()
+                    yield _index_rows(shard.row(first + n))
                     shard, n = _Shard(), n + 1
         if shard.ids:
-            yield out()
+            yield _index_rows(shard.row(first + n))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return materialize(rows.mapInArrow(run, INDEX), "lex-index")
 
 
 INDEX_ARROW = pa.schema([("shard", pa.int64()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()), ("ids", pa.binary()), ("lengths", pa.binary()),
-                         ("terms", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int32())), ("most", pa.list_(pa.int32())),
-                         ("least", pa.list_(pa.int32())), ("slots", pa.binary()), ("counts", pa.binary())])
+                         ("term", pa.binary()), ("size", pa.int32()), ("most", pa.int32()), ("least", pa.int32()),
+                         ("slots", pa.binary()), ("counts", pa.binary())])
 
 
 # ---------------------------------------------------------------- one shard
@@ -181,7 +201,7 @@ class Postings:
 
 
 class ShardIndex:
-    """One row of the index, opened for the terms that are asked for."""
+    """A shard of the index, opened for the terms that are asked for."""
 
     def __init__(self, row: dict, totals: Totals, asked: dict[bytes, int]):
         self.ids = np.frombuffer(row["ids"], np.int64)
@@ -290,45 +310,57 @@ def item_terms(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 def weighted_terms(index: DataFrame, terms: DataFrame, n_docs: int) -> DataFrame:
     """(item_id, term, weight): terms that some document holds; frequencies over the whole index."""
-    held = index.select(F.explode(F.arrays_zip("terms", "sizes")).alias("x")).select(F.col("x.terms").alias("term"), F.col("x.sizes").alias("df"))
+    held = index.where(F.col("term").isNotNull()).select("term", F.col("size").alias("df"))
     df = held.join(terms.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.sum(F.col("df").cast("long")).alias("df"))
     weight = F.floor(F.lit(1000.0) * F.log(F.lit(float(2 * n_docs + 2)) / (2 * F.col("df") + 1).cast("double")))
     return terms.join(df.select("term", weight.cast("long").alias("weight")), "term").where(F.col("weight") > 0)
 
 
-def _chunks(items: DataFrame) -> tuple[DataFrame, int, int]:
-    """(chunk, items), how many and their bytes: items dealt into chunks of about CHUNK_BYTES."""
-    size = F.aggregate("terms", F.lit(0).cast("long"), lambda a, t: a + 16 + F.octet_length(t["term"]))
-    total = items.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n")).first().n
-    n = max(1, -(-total // CHUNK_BYTES))
-    chunk = F.pmod(F.xxhash64("item_id"), F.lit(n))
-    return items.groupBy(chunk.alias("chunk")).agg(F.collect_list(F.struct("item_id", "terms")).alias("items")), n, total
+def _chunks(terms: DataFrame) -> tuple[DataFrame, int]:
+    """(chunk, term, weight, items that ask for it) and the terms' bytes: items dealt into chunks of about CHUNK_BYTES."""
+    total = terms.agg(F.coalesce(F.sum(16 + F.octet_length("term")), F.lit(0)).alias("n")).first().n
+    chunk = F.pmod(F.xxhash64("item_id"), F.lit(max(1, -(-total // CHUNK_BYTES))))
+    asking = F.transform(F.collect_list(F.struct("item_id")), lambda i: i["item_id"])  # an item may have no id
+    return terms.groupBy(chunk.alias("chunk"), "term", "weight").agg(asking.alias("items")), total
 
 
-class _Chunk:
-    """A chunk's items and their best so far."""
+SHARD_COLUMNS = ("shard", "chunk", "ids", "lengths", "term", "weight", "items", "size", "most", "least", "slots", "counts")
 
-    def __init__(self, items: list[dict], k: int):
-        self.items = [(i["item_id"], [t["term"] for t in i["terms"]], Best(k)) for i in items]
-        self.weights = {t["term"]: t["weight"] for i in items for t in i["terms"]}
 
-    def rows(self) -> Iterator[tuple]:
-        for item, _, best in self.items:
-            for s, d in zip(best.score.tolist(), best.ids.tolist(), strict=True):
-                yield item, None if d == NO_ID else d, s
+def _dealt(index: DataFrame, chunks: DataFrame, n_bytes: int) -> DataFrame:
+    """Each shard's documents, then its lists for every chunk, in one task: terms of BROADCAST_BYTES at most are broadcast."""
+    few = F.broadcast(chunks) if n_bytes <= BROADCAST_BYTES else chunks.hint("merge")
+    lists = index.where(F.col("term").isNotNull()).drop("ids", "lengths").join(few, "term")
+    heads = index.where(F.col("term").isNull()).select("shard", "ids", "lengths")
+    rows = heads.unionByName(lists, allowMissingColumns=True).select(*SHARD_COLUMNS)
+    return rows.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_first("chunk"))
 
 
-def _paired(index: DataFrame, chunks: DataFrame, n_chunks: int, n_bytes: int) -> DataFrame:
-    """Every chunk beside every shard: chunks of BROADCAST_BYTES at most are broadcast, others shuffled to (chunk, group of shards)."""
-    def up_to(n: int):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict, dict, dict]]:
+    """(chunk, a shard's row with the lists that the chunk asks for, term -> weight, item -> terms)."""
+    key, head, lists = None, None, []
 
-    shards = index.withColumn("chunk", up_to(n_chunks))
-    if n_bytes <= BROADCAST_BYTES:
-        return shards.join(F.broadcast(chunks), "chunk")
-    groups = 4 * shuffle_parts(index.sparkSession)
-    shards = shards.withColumn("part", F.pmod(F.xxhash64("shard"), F.lit(groups)))
-    return shards.join(chunks.withColumn("part", up_to(groups)).hint("merge"), ["chunk", "part"])
+    def opened() -> tuple[int, dict, dict, dict]:
+        term, weight, items, size, most, least, slots, counts = zip(*lists, strict=True)
+        asked: dict = {}
+        for t, asking in zip(term, items, strict=True):
+            for i in asking:
+                asked.setdefault(i, []).append(t)
+        row = {"ids": head[0], "lengths": head[1], "terms": term, "sizes": size, "most": most, "least": least, "slots": b"".join(slots), "counts": b"".join(counts)}
+        return key[1], row, dict(zip(term, weight, strict=True)), asked
+
+    for b in batches:
+        for shard, chunk, ids, lengths, *of_term in zip(*(b.column(c).to_pylist() for c in SHARD_COLUMNS), strict=True):
+            if (shard, chunk) != key:
+                if lists:
+                    yield opened()
+                key, lists = (shard, chunk), []
+            if chunk is None:
+                head = ids, lengths
+            else:
+                lists.append(of_term)
+    if lists:
+        yield opened()
 
 
 def search(index: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -337,33 +369,31 @@ def search(index: DataFrame, items: DataFrame, k: int = 50, id_col: str = "item_
     size = index.agg(F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("t")).first()
     n_docs, n_tokens = int(size.n), int(size.t)
     terms = weighted_terms(index, item_terms(items, id_col, text_col), n_docs)
-    asked = materialize(terms.groupBy("item_id").agg(F.collect_list(F.struct("term", "weight")).alias("terms")), "lex-items")
-    chunks, n_chunks, n_bytes = _chunks(asked)
+    asked = materialize(terms, "lex-items")
+    chunks, n_bytes = _chunks(asked)
     ship(spark)
     share, window, most_open = SHORT_SHARE, WINDOW, OPEN_CHUNKS
     schema = pa.schema([("item_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.int64())])
 
-    def out(chunk: _Chunk) -> pa.RecordBatch:
-        cols = list(zip(*chunk.rows(), strict=True)) or [(), (), ()]
+    def out(held: dict) -> pa.RecordBatch:
+        rows = [(i, None if d == NO_ID else d, x) for i, best in held.items() for x, d in zip(best.score.tolist(), best.ids.tolist(), strict=True)]
+        cols = list(zip(*rows, strict=True)) or [(), (), ()]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     def run(batches):
         totals, held = Totals(n_docs, n_tokens), {}
-        for b in batches:
-            for at in range(b.num_rows):
-                row = b.slice(at, 1).to_pylist()[0]
-                if row["chunk"] not in held:
-                    if len(held) == most_open:
-                        yield out(held.pop(next(iter(held))))
-                    held[row["chunk"]] = _Chunk(row["items"], k)
-                chunk = held[row["chunk"]]
-                shard = ShardIndex(row, totals, chunk.weights)
-                for _, terms, best in chunk.items:
-                    search_shard(shard, terms, best, share, window)
-        for chunk in held.values():
-            yield out(chunk)
-
-    found = _paired(index.drop("n_docs", "n_tokens"), chunks, n_chunks, n_bytes).mapInArrow(run, "item_id long, doc_id long, score long")
+        for chunk, row, weights, asked_here in _shards(batches):
+            if chunk not in held:
+                if len(held) == most_open:
+                    yield out(held.pop(next(iter(held))))
+                held[chunk] = {}
+            shard = ShardIndex(row, totals, weights)
+            for item, terms in asked_here.items():
+                search_shard(shard, terms, held[chunk].setdefault(item, Best(k)), share, window)
+        for bests in held.values():
+            yield out(bests)
+
+    found = _dealt(index, chunks, n_bytes).mapInArrow(run, "item_id long, doc_id long, score long")
     best = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")

@@ -127,3 +127,15 @@ def test_lengths_beyond_64_bits_raise():
 def test_query_matches_sql(spark):
     sf = "/root/testdata/sf0.001"
     compare(Q.op13_ranked_search(spark, sf), duck(sf), R.SQL)
+
+
+def test_no_row_of_the_index_holds_more_than_a_term_or_a_shard_s_documents(spark, make_docs, monkeypatch):
+    """Files and batches hold rows whole, and a task may write many shards."""
+    monkeypatch.setattr(R, "SHARD_DOCS", 50)
+    docs, *_ = corpus(400)
+    index = R.build_index(make_docs(docs))
+    largest = max(sum(len(v) for v in r if isinstance(v, (bytes, bytearray, list))) for r in index.collect())
+    assert largest <= 50 * 16 + 64
+    df = {r.term.decode(): r.n for r in index.where("term is not null").groupBy("term").agg({"size": "sum"}).toDF("term", "n").collect()}
+    assert df == Counter(t for _, text in docs for t in set(words(text)))
+    R.drop_materialized(index)
