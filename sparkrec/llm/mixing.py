@@ -66,13 +66,19 @@ def _marked(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select(*more, "doc_id", "h", "n_tokens", F.concat("own", shape).alias("marks"))
 
 
+def _words(marked: DataFrame, *names: str) -> DataFrame:
+    """(names, word): a row for each mark. There is one always; a plain ``explode`` would have Spark look for documents without
+    by splitting every text once more, ahead of the join with the labels too."""
+    return marked.select(*names, F.explode_outer("marks").alias("word"))
+
+
 def _terms(docs: DataFrame, domains: DataFrame, names: list[str], max_labelled: int, max_terms: int,
            id_col: str, text_col: str) -> DataFrame:
     """(word, w0, w1, ...): by domain, millionths of a word's log-likelihood ratio to the pooled sample."""
     lab = (domains.select(F.col("doc_id").cast("long").alias("doc_id"), "domain").where("doc_id is not null and domain is not null")
            .groupBy("doc_id").agg(F.min("domain").alias("domain")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled))
     sample = _marked(texts(docs, id_col, text_col).join(F.broadcast(lab), "doc_id"), "domain")  # broadcast: max_labelled rows
-    words = sample.select("domain", F.explode("marks").alias("word"))
+    words = _words(sample, "domain")
     n = [F.sum((F.col("domain") == d).cast("long")).alias(f"n{i}") for i, d in enumerate(names)]
     counts = words.groupBy("word").agg(*n).withColumn("n", sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0)))
     counts = materialize(counts.where("n >= 5").orderBy(F.desc("n"), "word").limit(max_terms), "mix-counts")
@@ -100,7 +106,7 @@ def posteriors(docs: DataFrame, domains: DataFrame, max_labelled: int = MAX_LABE
         base = marked.groupBy("doc_id", "h").agg(F.count("*").alias("copies"), F.max("n_tokens").alias("n_tokens"))
         return materialize(base.withColumn("p0", F.lit(1.0)), "mix-posteriors"), ["all"]
     terms = materialize(_terms(docs, domains, names, max_labelled, max_terms, id_col, text_col), "mix-terms")
-    hits = marked.select("doc_id", "h", "n_tokens", F.explode("marks").alias("word")).join(
+    hits = _words(marked, "doc_id", "h", "n_tokens").join(
         F.broadcast(terms), "word", "left" if terms.where(F.col("word") == ROW).isEmpty() else "inner")  # max_terms rows
     k = range(len(names))
     sums = hits.groupBy("doc_id", "h").agg(

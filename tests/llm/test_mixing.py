@@ -88,3 +88,12 @@ def test_main_path_has_no_python(make_docs, labels):
     rows, domains = planted(40)
     plan = M.rates(make_docs(rows), labels(domains), {"a": 0.5, "b": 0.5})._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_texts_are_not_split_to_look_for_empty_documents(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "")], "doc_id long, text string")
+    lab = spark.createDataFrame([(1, "x")], "doc_id long, domain string")
+    words = M._words(M._marked(M.texts(docs).join(lab, "doc_id"), "domain"), "domain", "doc_id")
+    plan = words._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "split(" in line], plan
+    assert M._words(M._marked(M.texts(docs)), "doc_id").where("doc_id = 2").count() == 3
