@@ -50,6 +50,7 @@ DEPTH = 3
 RUN_HASHES = 1 + BRANCH * (DEPTH - 1)  # of a run: one, then BRANCH for each further level
 BLOCK_SETS = 1024
 BLOCK_SHINGLES = 2_000_000  # sets of a compared block hold about so many shingles at most
+SAMPLED_CELLS = 1 << 15  # (hash, shingle) cells that are worked out at once
 WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -89,7 +90,20 @@ def set_id(s: np.ndarray) -> str:
 def sampled(s: np.ndarray, n: int) -> list[int]:
     """For each of n hashes, the token of s that it makes the least (by its hash value)."""
     seeds = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    return [int(_mix(s ^ k).min().astype(np.int64)) for k in seeds]
+    rows = max(1, SAMPLED_CELLS // len(s))  # several hashes at once, in place: most sets are short
+    out = []
+    for lo in range(0, n, rows):
+        x = s ^ seeds[lo:lo + rows, None]
+        y = x >> np.uint64(30)
+        x ^= y
+        x *= np.uint64(0xBF58476D1CE4E5B9)
+        np.right_shift(x, np.uint64(27), out=y)
+        x ^= y
+        x *= np.uint64(0x94D049BB133111EB)
+        np.right_shift(x, np.uint64(31), out=y)
+        x ^= y
+        out += x.min(axis=1).view(np.int64).tolist()
+    return out
 
 
 # -- comparing one group or one pair of blocks ---------------------------------------------------------------------

@@ -126,3 +126,18 @@ def test_overlaps_are_exact():
 @pytest.mark.parametrize(("recall", "runs"), [(0.99999, 8), (0.9, 2), (0.2, 1)])
 def test_runs(recall, runs):
     assert C.runs_for(recall, 0.8) == runs
+
+
+@pytest.mark.parametrize("size,cells", [(1, 1 << 15), (7, 20), (400, 1 << 15), (400, 16)])
+def test_sampled_works_several_hashes_out_at_once(monkeypatch, size, cells):
+    """The same tokens as one hash after another, with a bounded number of array steps for a short set."""
+    s = np.unique(np.random.default_rng(size).integers(0, 2**63, size).astype(np.uint64) * np.uint64(3))
+    monkeypatch.setattr(C, "SAMPLED_CELLS", cells)
+    one_by_one = []
+    for k in range(1, 46):
+        seed = np.array(k, np.uint64) * np.uint64(0xD1B54A32D192ED03)
+        one_by_one.append(int(C._mix(s ^ seed).min().astype(np.int64)))
+    assert C.sampled(s, 45) == one_by_one
+    steps = []
+    monkeypatch.setattr(C, "_mix", lambda x: steps.append(x))
+    assert C.sampled(s, 45) == one_by_one and not steps
