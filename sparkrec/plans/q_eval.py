@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkrec.operators import evaluate as EV
@@ -11,6 +12,7 @@ from sparkrec.plans.q_core import cf_predictions, cf_sql
 from sparkrec.plans.registry import Ctx, register
 from sparkrec.plans.sqlviews import with_views
 from sparkrec.plans.util import round_doubles
+from sparkrec.session import materialize
 
 PLACEHOLDER_EVERY = 97     # fixture: every 97th input line carries the -999 placeholder
 
@@ -62,8 +64,8 @@ def q_eval_join(ctx: Ctx):
     return round_doubles(j)
 
 
-def _placeholder_preds(ctx: Ctx):
-    p = cf_predictions(ctx).select("user_id", "item_id", "prediction")
+def _placeholder_preds(ctx: Ctx, predictions: DataFrame | None = None):
+    p = (cf_predictions(ctx) if predictions is None else predictions).select("user_id", "item_id", "prediction")
     c = ctx.candidates_rn.select("row_no", "user_id", "item_id").join(p, ["user_id", "item_id"], "left")
     return c.withColumn("prediction", F.when(F.col("row_no") % PLACEHOLDER_EVERY == 0, F.lit(EV.PLACEHOLDER))
                         .otherwise(F.col("prediction")))
@@ -100,10 +102,12 @@ def _best_sql() -> str:
 
 def comparison_table(ctx: Ctx):
     from sparkrec.operators.baselines import item_means, user_means
-    ph = _placeholder_preds(ctx)
+    # two columns read the predictions: they are worked out once
+    predicted = materialize(cf_predictions(ctx).select("user_id", "item_id", "prediction"), "cf-predictions")
+    ph = _placeholder_preds(ctx, predicted)
     um = user_means(ctx.half_a).select("user_id", F.col("user_mean").alias("p3"))
     im = item_means(ctx.half_a).select("item_id", F.col("item_mean").alias("p4"))
-    cf = cf_predictions(ctx).select("user_id", "item_id", F.col("prediction").alias("p5"))
+    cf = predicted.select("user_id", "item_id", F.col("prediction").alias("p5"))
     lab = ctx.candidates_rn.select("row_no", F.col("stars").cast("double").alias("label"))
     t = (ph.withColumnRenamed("prediction", "c2").join(lab, "row_no")
          .join(um, "user_id", "left").join(im, "item_id", "left").join(cf, ["user_id", "item_id"]))

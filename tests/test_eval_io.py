@@ -149,3 +149,18 @@ def test_truth_of_attributes_follows_their_json_type(spark, tmp_path):
     assert {r.item_id: r[column] for r in FE.item_features(plain, mode="presence").collect()} == {"b0": 1.0, "b1": 1.0, "b12": 0.0, "null": 0.5}
     parsed = {r.item_id: r[column] for r in FE.item_features(items).collect()}
     assert parsed["b0"] == parsed["b1"] == parsed["b2"] == parsed["b5"] == 0.0 and parsed["b9"] == 1.0
+
+
+def test_comparison_works_predictions_out_once(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from sparkrec.plans import q_eval as Q
+
+    rated = spark.createDataFrame([(u, i, 1 + (u + i) % 5) for u in range(6) for i in range(4) if (u + i) % 3], "user_id long, item_id long, stars int")
+    asked = spark.createDataFrame([(n, u, i, 1 + u % 5) for n, (u, i) in enumerate((u, i) for u in range(7) for i in range(5))],
+                                  "row_no long, user_id long, item_id long, stars int")
+    calls, real = [], Q.cf_predictions
+    monkeypatch.setattr(Q, "cf_predictions", lambda ctx: calls.append(1) or real(ctx))
+    rows = Q.comparison_table(SimpleNamespace(half_a=rated, candidates=asked.drop("row_no"), candidates_rn=asked)).collect()
+    assert len(calls) == 1 and len(rows) == 35
+    assert all(r.c2 == (-999.0 if r.row_no % Q.PLACEHOLDER_EVERY == 0 else r.p5) for r in rows)
