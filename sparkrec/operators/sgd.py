@@ -34,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,7 @@ from sparkrec.session import drop_materialized, materialize, ship
 
 CELL_RATINGS = 2_000_000
 ONE_CELL = 50_000  # no more than this is left undivided
+AT_ONCE = 256  # steps of a wave taken together: their factors stay in a core's cache
 INIT_STD = 0.1
 
 
@@ -88,14 +90,40 @@ def waves(u: np.ndarray, i: np.ndarray) -> list[np.ndarray]:
 def steps(u: np.ndarray, i: np.ndarray, stars: np.ndarray, mean: float, bu, bi, pu, qi, p: Params) -> None:
     """The steps of ratings in their order (indices into the parameter arrays, which are changed in place)."""
     lr, reg = p.lr, p.reg
-    for w in waves(u, i):
-        a, b = u[w], i[w]
-        x, y = pu[a], qi[b]
-        e = stars[w] - (mean + bu[a] + bi[b] + (x * y).sum(axis=1))
-        bu[a] += lr * (e - reg * bu[a])
-        bi[b] += lr * (e - reg * bi[b])
-        pu[a] = x + lr * (e[:, None] * y - reg * x)
-        qi[b] = y + lr * (e[:, None] * x - reg * y)
+    for wave in waves(u, i):
+        for lo in range(0, len(wave), AT_ONCE):
+            w = wave[lo:lo + AT_ONCE]
+            a, b = u[w], i[w]
+            x, y = pu[a], qi[b]
+            e = stars[w] - (mean + bu[a] + bi[b] + np.einsum("ij,ij->i", x, y))
+            bu[a] += lr * (e - reg * bu[a])
+            bi[b] += lr * (e - reg * bi[b])
+            e = (lr * e)[:, None]
+            pu[a] = (1 - lr * reg) * x + e * y
+            qi[b] = (1 - lr * reg) * y + e * x
+
+
+def _packed(x: np.ndarray) -> pa.BinaryArray:
+    """The bytes of each row: factors move and are written as they lie, not number by number."""
+    ends = np.arange(len(x) + 1, dtype=np.int32) * (x.shape[1] * 8)
+    return pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(np.ascontiguousarray(x, float).tobytes())])
+
+
+def _unpacked(column: pa.Array) -> np.ndarray:
+    """``_packed`` back, as one long array that may be changed."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].copy().view(float) if len(column) else np.empty(0)
+
+
+def _as_lists(params: DataFrame) -> DataFrame:
+    """(id, b, v) with v as a list."""
+    def run(batches):
+        for b in batches:
+            v = _unpacked(b.column("v"))
+            ends = np.linspace(0, len(v), b.num_rows + 1).round().astype(np.int32)
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("b"), pa.ListArray.from_arrays(pa.array(ends), pa.array(v))], names=["id", "b", "v"])
+
+    return params.select("id", "b", "v").mapInArrow(run, f"id {params.schema['id'].dataType.simpleString()}, b double, v array<double>")
 
 
 def _start(ids: DataFrame, name: str, p: Params) -> DataFrame:
@@ -104,12 +132,14 @@ def _start(ids: DataFrame, name: str, p: Params) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            found = [start_factors(x, name, rank, seed).tolist() for x in b.column("key").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("id"), pa.array([0.0] * b.num_rows), pa.array(found, pa.list_(pa.float64()))],
+            found = np.empty((b.num_rows, rank))
+            for n, x in enumerate(b.column("key").to_pylist()):
+                found[n] = start_factors(x, name, rank, seed)
+            yield pa.RecordBatch.from_arrays([b.column("block"), b.column("id"), pa.array(np.zeros(b.num_rows)), _packed(found)],
                                              names=["block", "id", "b", "v"])
 
     kind = ids.schema["id"].dataType.simpleString()
-    return ids.withColumn("key", F.col("id").cast("string")).mapInArrow(run, f"block int, id {kind}, b double, v array<double>")
+    return ids.withColumn("key", F.col("id").cast("string")).mapInArrow(run, f"block int, id {kind}, b double, v binary")
 
 
 def _block(col: str, blocks: int, seed: int):
@@ -157,7 +187,7 @@ def fit(train: DataFrame, params: Params | None = None) -> Model:
                 drop_materialized(items)
                 users, items = new_users, new_items
     drop_materialized(cells)
-    return Model(mean, users.select(F.col("id").alias("user_id"), "b", "v"), items.select(F.col("id").alias("item_id"), "b", "v"))
+    return Model(mean, *(_as_lists(t).withColumnRenamed("id", name) for t, name in ((users, "user_id"), (items, "item_id"))))
 
 
 def _stratum(cells: DataFrame, users: DataFrame, items: DataFrame, epoch: int, s: int, blocks: int, mu: float, p: Params) -> tuple[DataFrame, DataFrame]:
@@ -165,26 +195,22 @@ def _stratum(cells: DataFrame, users: DataFrame, items: DataFrame, epoch: int, s
     u_kind, i_kind = (t.schema["id"].dataType.simpleString() for t in (users, items))
     here = cells.where(F.col("ib") == F.pmod(F.col("ub") + s, F.lit(blocks))).select(
         F.col("ub").alias("cell"), "user_id", "item_id", "stars", F.xxhash64(F.lit(epoch), F.col("user_id").cast("string"), F.col("item_id").cast("string")).alias("turn"))
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("item_id", i_kind), ("b", "double"), ("v", "array<double>"))]
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("item_id", i_kind), ("b", "double"), ("v", "binary"))]
     known = users.select(F.col("block").alias("cell"), F.col("id").alias("user_id"), nothing[0], "b", "v").unionByName(
         items.select(F.pmod(F.col("block") - s, F.lit(blocks)).cast("int").alias("cell"), F.lit(None).cast(u_kind).alias("user_id"), F.col("id").alias("item_id"), "b", "v"))
-    schema = f"cell int, user_id {u_kind}, item_id {i_kind}, b double, v array<double>"
+    schema = f"cell int, user_id {u_kind}, item_id {i_kind}, b double, v binary"
 
     def run(key, rated, given):
-        is_user = given.column("user_id").is_valid().to_numpy(zero_copy_only=False)
-        u_ids = [x for x in given.column("user_id").to_pylist() if x is not None]
-        i_ids = [x for x in given.column("item_id").to_pylist() if x is not None]
+        is_user = given.column("user_id").is_valid().to_numpy()
+        order = np.r_[np.flatnonzero(is_user), np.flatnonzero(~is_user)]
+        given, n = given.take(pa.array(order)), int(is_user.sum())
+        u_ids, i_ids = given.column("user_id").slice(0, n).combine_chunks(), given.column("item_id").slice(n).combine_chunks()
         bias = given.column("b").to_numpy().copy()
-        factors = given.column("v").combine_chunks().flatten().to_numpy().reshape(len(bias), -1).copy()
-        bu, bi, pu, qi = bias[is_user], bias[~is_user], factors[is_user], factors[~is_user]
+        factors = _unpacked(given.column("v").combine_chunks()).reshape(len(bias), -1)
         rated = rated.sort_by([("turn", "ascending"), ("stars", "ascending")])
-        u_at, i_at = ({x: n for n, x in enumerate(xs)} for xs in (u_ids, i_ids))
-        steps(np.array([u_at[x] for x in rated.column("user_id").to_pylist()], np.int64), np.array([i_at[x] for x in rated.column("item_id").to_pylist()], np.int64),
-              rated.column("stars").to_numpy(), mu, bu, bi, pu, qi, p)
-        n, m = len(u_ids), len(i_ids)
-        cols = [pa.array([key[0].as_py()] * (n + m), pa.int32()), pa.array(u_ids + [None] * m, given.schema.field("user_id").type),
-                pa.array([None] * n + i_ids, given.schema.field("item_id").type), pa.array(np.concatenate([bu, bi])),
-                pa.array(np.concatenate([pu, qi]).tolist(), pa.list_(pa.float64()))]
+        u, i = (pc.index_in(rated.column(c), value_set=ids).to_numpy().astype(np.int64) for c, ids in (("user_id", u_ids), ("item_id", i_ids)))
+        steps(u, i, rated.column("stars").to_numpy(), mu, bias[:n], bias[n:], factors[:n], factors[n:], p)
+        cols = [pa.array(np.full(len(bias), key[0].as_py(), np.int32)), given.column("user_id"), given.column("item_id"), pa.array(bias), _packed(factors)]
         return pa.table(cols, names=["cell", "user_id", "item_id", "b", "v"])
 
     done = materialize(here.groupBy("cell").cogroup(known.groupBy("cell")).applyInArrow(run, schema), "sgd-stratum")

@@ -120,3 +120,18 @@ def test_blocks_follow_the_number_of_ratings(spark, monkeypatch):
     few, many = frame(spark, ratings(10, 9, 1.0)), frame(spark, ratings(40, 20, 1.0))
     assert sgd.choose_blocks(few, sgd.Params()) == 2 and sgd.choose_blocks(many, sgd.Params()) == 4
     assert sgd.choose_blocks(many, sgd.Params(blocks=7)) == 7
+
+
+def test_factors_are_packed_and_steps_are_taken_in_parts(monkeypatch):
+    x = np.arange(12.0).reshape(4, 3)
+    assert sgd._packed(x).to_pylist() == [row.tobytes() for row in x]
+    assert (sgd._unpacked(sgd._packed(x).slice(1, 2)).reshape(2, 3) == x[1:3]).all() and not len(sgd._unpacked(sgd._packed(x[:0])))
+    r = np.random.default_rng(4)
+    u, i, stars = r.integers(0, 300, 900), r.integers(0, 200, 900), r.integers(1, 6, 900).astype(float)
+    found = []
+    for part in (7, 10**6):
+        monkeypatch.setattr(sgd, "AT_ONCE", part)
+        state = [np.zeros(300), np.zeros(200), *(np.random.default_rng(n).standard_normal((m, 5)) for n, m in ((1, 300), (2, 200)))]
+        sgd.steps(u, i, stars, 3.0, *state, sgd.Params())
+        found.append(state)
+    assert all((a == b).all() for a, b in zip(*found, strict=True))
